@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .langid import op9_langid
 from .mixing import OP10_SQL, op10_mixing
 from .simhash import op1_simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_golay": op1_simhash_golay,
     "op10_mixing": op10_mixing,
+    "op9_langid": op9_langid,
 }
 
 ORACLES: dict[str, str] = {
