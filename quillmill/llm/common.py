@@ -85,3 +85,8 @@ def n_words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """body(value), with value computed once for each row though body uses it often."""
     return F.transform(F.array(value), body)[0]
+
+
+def bounded(t: DataFrame, rows: int = 20_000) -> DataFrame:
+    """t for a join: broadcast if counting shows that it has few rows (of some 100 bytes)."""
+    return F.broadcast(t) if t.count() <= rows else t

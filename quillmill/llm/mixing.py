@@ -12,12 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, n_words, table
+from .common import bounded, materialise, n_words, table
 
 #: Hash bits in all, and those of the first two histograms.
 BITS, FIRST, SECOND = 60, 12, 12
-#: Up to so many sources (some 100 bytes each) the table of thresholds is broadcast.
-BROADCAST_SOURCES = 20_000
 
 
 def row_hash(key: Column) -> Column:
@@ -48,11 +46,6 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: int)
     return t.select("source", "source_size", F.when(F.col("full"), F.col("most").cast("double")).otherwise(level * F.col("w")).alias("target"))
 
 
-def _bounded(t: DataFrame) -> DataFrame:
-    """t for a join: broadcast if it was counted to be small."""
-    return F.broadcast(t) if t.count() <= BROADCAST_SOURCES else t
-
-
 def _of_source(rows: DataFrame, t: DataFrame) -> DataFrame:
     t = t.withColumnRenamed("source", "its_source")
     return rows.join(t, rows["source"].eqNullSafe(t["its_source"])).drop("its_source")
@@ -63,7 +56,7 @@ def _step(rows: DataFrame, state: DataFrame, shift: int) -> DataFrame:
     bucket = F.shiftright("h", shift)
     hist = rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
     sums = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("bucket")))
-    sums = _of_source(sums, _bounded(state.select("source", "rest", "below"))).withColumn("upto", F.col("upto") + F.col("below"))
+    sums = _of_source(sums, bounded(state.select("source", "rest", "below"))).withColumn("upto", F.col("upto") + F.col("below"))
     ends = sums.where(F.col("upto") > F.col("rest")).groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("below"))).alias("end"))
     ends = ends.select(F.col("source").alias("s"), F.col("end.bucket").alias("bucket"), F.col("end.below").alias("nearer"))
     kept = state.drop("bucket", "shift")
@@ -88,13 +81,13 @@ def thresholds(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: flo
     state = materialise(state.withColumn("below", F.lit(0).cast("long")))
     state = _step(rows, state, BITS - FIRST)
     for shift in (BITS - FIRST - SECOND, 0):
-        at = _bounded(state.where("bucket is not null").select("source", "bucket", F.col("shift").alias("by")))
+        at = bounded(state.where("bucket is not null").select("source", "bucket", F.col("shift").alias("by")))
         inside = _of_source(rows, at).where(F.expr("shiftright(h, by) = bucket"))
         if shift:
             state = _step(inside, state, shift)
     sums = inside.groupBy("source", "h").agg(F.sum("size").alias("n"))
     sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("h")))
-    sums = _of_source(sums, _bounded(state.select("source", "rest", "below"))).withColumn("upto", F.col("upto") + F.col("below"))
+    sums = _of_source(sums, bounded(state.select("source", "rest", "below"))).withColumn("upto", F.col("upto") + F.col("below"))
     before = F.col("upto") - F.col("n")
     fits = (F.col("upto") <= F.col("rest")) | ((before <= F.col("rest")) & (F.col("upto") - F.col("rest") < F.col("rest") - before))
     last = sums.where(fits).groupBy("source").agg(F.max("h").alias("last")).withColumnRenamed("source", "s")
@@ -125,14 +118,14 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     their fate.  An empty table gives no rows.  Other columns are not looked at.
     """
     rows = materialise(_rows(docs, id_col, text_col, source_col))
-    found = _of_source(rows, _bounded(thresholds(rows, **how)))
+    found = _of_source(rows, bounded(thresholds(rows, **how)))
     return found.select("doc_id", "source", "size", "source_size", "target", _copies().alias("copies"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the columns of docs."""
     rows = materialise(_rows(docs, id_col, text_col, source_col).drop("doc_id"))
-    t = _bounded(thresholds(rows, **how)).select(F.col("source").alias("_mix_source"), "whole", "last")
+    t = bounded(thresholds(rows, **how)).select(F.col("source").alias("_mix_source"), "whole", "last")
     t = t.select("_mix_source", F.struct("whole", "last").alias("_mix"))
     joined = docs.withColumn("_mix_h", row_hash(F.col(id_col))).join(t, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
     n = F.col("_mix.whole") + F.when(F.col("_mix_h") <= F.col("_mix.last"), 1).otherwise(0)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .langid import op9_langid
+from .linefreq import OP3_SQL, op3_line_frequency
 from .mixing import OP10_SQL, op10_mixing
 from .simhash import op1_simhash_golay
 
@@ -14,8 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_golay": op1_simhash_golay,
     "op10_mixing": op10_mixing,
     "op9_langid": op9_langid,
+    "op3_line_frequency": op3_line_frequency,
 }
 
 ORACLES: dict[str, str] = {
     "op10_mixing": OP10_SQL,
+    "op3_line_frequency": OP3_SQL,
 }
