@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chatformat import OP2_SQL, op2_chat_format
 from .langid import op9_langid
 from .linefreq import OP3_SQL, op3_line_frequency
 from .mixing import OP10_SQL, op10_mixing
@@ -16,9 +17,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op9_langid": op9_langid,
     "op3_line_frequency": op3_line_frequency,
+    "op2_chat_format": op2_chat_format,
 }
 
 ORACLES: dict[str, str] = {
     "op10_mixing": OP10_SQL,
     "op3_line_frequency": OP3_SQL,
+    "op2_chat_format": OP2_SQL,
 }
