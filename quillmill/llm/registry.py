@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chatformat import OP2_SQL, op2_chat_format
+from .editembed import op8_edit_embedding
 from .langid import op9_langid
 from .linefreq import OP3_SQL, op3_line_frequency
 from .mixing import OP10_SQL, op10_mixing
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": op9_langid,
     "op3_line_frequency": op3_line_frequency,
     "op2_chat_format": op2_chat_format,
+    "op8_edit_embedding": op8_edit_embedding,
 }
 
 ORACLES: dict[str, str] = {
