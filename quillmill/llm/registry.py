@@ -11,6 +11,7 @@ from .editembed import op8_edit_embedding
 from .langid import op9_langid
 from .linefreq import OP3_SQL, op3_line_frequency
 from .mixing import OP10_SQL, op10_mixing
+from .pii import op4_pii_crf
 from .simhash import op1_simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": op3_line_frequency,
     "op2_chat_format": op2_chat_format,
     "op8_edit_embedding": op8_edit_embedding,
+    "op4_pii_crf": op4_pii_crf,
 }
 
 ORACLES: dict[str, str] = {
