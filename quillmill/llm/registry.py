@@ -11,6 +11,7 @@ from .editembed import op8_edit_embedding
 from .langid import op9_langid
 from .linefreq import OP3_SQL, op3_line_frequency
 from .mixing import OP10_SQL, op10_mixing
+from .packing import op5_packing
 from .pii import op4_pii_crf
 from .simhash import op1_simhash_golay
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op8_edit_embedding": op8_edit_embedding,
     "op4_pii_crf": op4_pii_crf,
+    "op5_packing": op5_packing,
 }
 
 ORACLES: dict[str, str] = {
