@@ -14,6 +14,7 @@ from .mixing import OP10_SQL, op10_mixing
 from .packing import op5_packing
 from .pii import op4_pii_crf
 from .simhash import op1_simhash_golay
+from .weaklabel import op6_weak_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_golay": op1_simhash_golay,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_edit_embedding": op8_edit_embedding,
     "op4_pii_crf": op4_pii_crf,
     "op5_packing": op5_packing,
+    "op6_weak_labels": op6_weak_labels,
 }
 
 ORACLES: dict[str, str] = {
