@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chatformat import OP2_SQL, op2_chat_format
 from .editembed import op8_edit_embedding
+from .htmltext import op7_html_trees
 from .langid import op9_langid
 from .linefreq import OP3_SQL, op3_line_frequency
 from .mixing import OP10_SQL, op10_mixing
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_crf": op4_pii_crf,
     "op5_packing": op5_packing,
     "op6_weak_labels": op6_weak_labels,
+    "op7_html_trees": op7_html_trees,
 }
 
 ORACLES: dict[str, str] = {
