@@ -25,12 +25,16 @@ def cn_to_int(c: Column) -> Column:
     Units up to ten thousand, digit runs and mixtures; white space is skipped, and reading ends at
     the first other character.  第 and 条 are ignored.  A plain signed integer is itself.
     """
-    s = F.regexp_replace(narrow_digits(F.coalesce(c.cast("string"), F.lit(""))), r"(?U)^\s+|\s+$", "")
+    return let(F.regexp_replace(narrow_digits(F.coalesce(c.cast("string"), F.lit(""))), r"(?U)^\s+|\s+$", ""), _folded)
+
+
+def _folded(s: Column) -> Column:
     t = F.regexp_replace(s, "[第条]", "")
-    start = F.struct(*[F.lit(0).cast("bigint").alias(k) for k in ("total", "section", "number")], F.lit(False).alias("over"))
+    kind = "struct<total:bigint,section:bigint,number:bigint,over:boolean>"  # fields may be null: all branches alike
+    start = F.struct(F.lit(0), F.lit(0), F.lit(0), F.lit(False)).cast(kind)
 
     def state(total, section, number, over=None) -> Column:
-        return F.struct(total.cast("bigint").alias("total"), section.cast("bigint").alias("section"), number.cast("bigint").alias("number"), (F.lit(False) if over is None else over).alias("over"))
+        return F.struct(total, section, number, F.lit(False) if over is None else over).cast(kind)
 
     def step(a: Column, x: Column) -> Column:
         digit, unit = _lookup(DIGITS, x), _lookup(UNITS, x)
@@ -72,11 +76,21 @@ def span_bounds(span: Column) -> Column:
     return F.struct(F.when(~none, left).alias("l"), F.when(~none, right).alias("r"))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once though body uses it often."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _range(pair_l: Column, pair_r: Column, most: int) -> Column:
-    a, b = cn_to_int(pair_l), cn_to_int(pair_r)
-    a, b = F.when(a <= 0, b).otherwise(a), F.when(b <= 0, a).otherwise(b)
-    lo, hi = F.least(a, b), F.greatest(a, b)
-    return F.when(hi > 0, F.sequence(F.greatest(lo, F.lit(1)), F.least(hi, lo + most))).otherwise(F.array().cast("array<bigint>"))
+    def filled(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        a, b = F.when(a <= 0, b).otherwise(a), F.when(b <= 0, a).otherwise(b)
+        return F.named_struct(F.lit("lo"), F.least(a, b), F.lit("hi"), F.greatest(a, b))
+
+    def numbers(p: Column) -> Column:
+        return F.when(p["hi"] > 0, F.sequence(F.greatest(p["lo"], F.lit(1)), F.least(p["hi"], p["lo"] + most))).otherwise(F.array().cast("array<bigint>"))
+
+    return let(let(F.named_struct(F.lit("a"), cn_to_int(pair_l), F.lit("b"), cn_to_int(pair_r)), filled), numbers)
 
 
 def expand_articles(c: Column, most: int = 10_000) -> Column:
@@ -89,8 +103,11 @@ def expand_articles(c: Column, most: int = 10_000) -> Column:
     rng = rf"第?\s*({n})\s*条?\s*(?:至第|到第|至|到|-)\s*第?\s*({n})\s*条?"
     one = rf"第\s*({n})\s*条"
     t = F.regexp_replace(narrow_digits(F.coalesce(c.cast("string"), F.lit(""))), "[－—–~]", "-")
-    t = F.regexp_replace(t, "（续[0-9]+）", "")
-    spans = F.flatten(F.transform(F.arrays_zip(F.regexp_extract_all(t, F.lit(rng), F.lit(1)).alias("a"), F.regexp_extract_all(t, F.lit(rng), F.lit(2)).alias("b")), lambda p: _range(p["a"], p["b"], most)))
+    return let(F.regexp_replace(t, "（续[0-9]+）", ""), lambda t: _expanded(t, rng, one, most))
+
+
+def _expanded(t: Column, rng: str, one: str, most: int) -> Column:
+    spans = F.flatten(F.zip_with(F.regexp_extract_all(t, F.lit(rng), F.lit(1)), F.regexp_extract_all(t, F.lit(rng), F.lit(2)), lambda a, b: _range(a, b, most)))
     rest = F.regexp_replace(t, rng, " ")
     singles = F.transform(F.regexp_extract_all(rest, F.lit(one), F.lit(1)), cn_to_int)
     rest = F.regexp_replace(rest, one, " ")

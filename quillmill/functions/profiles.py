@@ -18,7 +18,7 @@ SECTION_RULES = (
 )
 FIXED_ROUTES = (("建设工程施工合同纠纷案件适用法律问题的解释", "JI-SPC-CONSTRUCTION-CONTRACT-DISPUTE-I-20201229"),)
 GENERIC_NAMES = ("关于适用的解释", "最高人民法院关于适用的解释")
-LITIGATION = {s: f"最高人民法院关于适用{law}诉讼法的解释" for s, law in (("criminal", "刑事"), ("civil", "民事"), ("admin", "行政"))}
+LITIGATION = {s: f"最高人民法院关于适用中华人民共和国{law}诉讼法的解释" for s, law in (("criminal", "刑事"), ("civil", "民事"), ("admin", "行政"))}
 SYSTEM_HINTS = (("admin", "行政|行诉"), ("criminal", "刑事|刑诉"))
 
 #: Names that are no citable law, by pattern (name without marks and white space).
@@ -30,45 +30,53 @@ UNCITABLE = (
 )
 #: More of them by whole name, a line each.
 UNCITABLE_NAMES = """
-****法
 人力资源社会保障部最高人民法院关于劳动人事争议仲裁与诉讼衔接有关问题的意见一
-必须招标的工程项目规定
+最高人民法院关于适用中华人民共和国合同法若干问题的解释二
+最高人民法院关于适用中华人民共和国婚姻法若干问题的解释二
 道路交通安全法实施条例
-道路交通事故处理程序规定
-第八次全国法院民事商事审判工作会议民事部分纪要
+劳动合同法实施条例
+生产安全事故报告和调查处理条例
+劳动争议处理条例
+行政区域界线管理条例
+行政区域界限管理条例
+失业保险条例
 工亡保险条例
-公安机关办理行政案件程序规定
-公安机关办理刑事案件程序规定
+机动车交通事故责任强制保险条例
+最高人民法院关于债权人在保证期间以特快专递向保证人发出逾期贷款催收通知书但缺乏保证人对邮件签收或拒收的证据能否认定债权人向保证人主张权利的请示的复函
 公安机关鉴定规则
+矿业权交易规则
+监督规则
+最高人民法院对关于担保期间债权人向保证人主张权利的方式及程序问题的请示的答复
 公安机关内部执法监督工作规定
-关于收取城市基础设施配套费有关问题的规定
+因工死亡职工供养亲属范围规定
+最高人民法院关于适用时间效力的若干规定
+公安机关办理刑事案件程序规定
+公安机关办理行政案件程序规定
+道路交通事故处理程序规定
+市场监督管理行政处罚程序规定
 国务院关于职工工作时间的规定
+关于收取城市基础设施配套费有关问题的规定
+最高人民法院关于****监督程序若干问题的规定
+必须招标的工程项目规定
 国有企业富余职工安置规定
+暂行规定
+****法
 国有土地上房屋征收评估办法
-机动车交通事故责任强制保险条例
-监督规则
-建设工程质量保证金管理办法
-建设工程质量管理办法
+工商行政管理机关行政赔偿实施办法
 矿产资源开采登记管理办法
-矿业权交易规则
-劳动合同法实施条例
-劳动争议处理条例
-生产安全事故报告和调查处理条例
-失业保险条例
-市场监督管理行政处罚程序规定
-市场监督管理行政处罚听证办法
-行政区域界限管理条例
-行政区域界线管理条例
-因工死亡职工供养亲属范围规定
-暂行规定
+建设工程质量管理办法
+建设工程质量保证金管理办法
 证券期货违法行为行政处罚办法
+市场监督管理行政处罚听证办法
 最高人民法院关于人民法院执行工作若干问题的规定试行
+第八次全国法院民事商事审判工作会议民事部分纪要
+最高人民法院关于审理涉及夫妻债务纠纷案件适用法律有关问题的解释
+最高人民法院关于适用中华人民共和国民法总则诉讼时效制度若干问题的解释
+最高人民法院关于审理拒不执行判决、裁定案件具体应用法律若干问题的解释
 最高人民法院关于审理劳动争议案件适用法律若干问题的解释
-最高人民法院关于适用时间效力的若干规定
-最高人民法院关于适用担保法若干问题的解释
-最高人民法院关于适用婚姻法若干问题的解释二
-最高人民法院关于适用行政诉讼法若干问题的解释
-最高人民法院关于适用合同法若干问题的解释二
+最高人民法院关于适用中华人民共和国担保法若干问题的解释
+最高人民法院关于适用中华人民共和国行政诉讼法若干问题的解释
+最高人民法院关于审理道路事故损害赔偿案件适用若干问题的解释
 """.split()
 
 #: What a normative title ends in, and what it does not hold.

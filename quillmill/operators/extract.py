@@ -89,7 +89,7 @@ def court(body: Column) -> Column:
     named = r"[\x{4e00}-\x{9fa5}]{2,30}?人民法院(赔偿委员会)?"
     at = F.array_position(F.transform(lines, lambda x: x.rlike(CASE_NO)), F.lit(True)).cast("int")
     above = F.filter(lines, lambda x, i: (i < at - 1) & (i >= at - 6) & F.regexp_replace(x, r"(?U)\s+", "").rlike(f"^{named}$"))
-    return F.coalesce(F.regexp_replace(F.get(above, F.lit(0)), r"(?U)\s+", ""), F.regexp_extract(text(body), named, 0))
+    return F.coalesce(F.regexp_replace(F.get(above, F.lit(0)), r"(?U)\s+", ""), F.regexp_replace(F.regexp_extract(text(body), named, 0), "^(?:本案|现|依法)*(?:上诉至|不服|由|经|向)", ""))
 
 
 def judgment_date(body: Column) -> Column:
@@ -270,7 +270,7 @@ def factors(docs: DataFrame, accused: DataFrame, id_col: str = "doc_id", text_co
     each = docs.select(id_col, F.posexplode(F.split(text(F.col(text_col)), "[。！？]")).alias("i", "s"))
     word = F.explode(F.map_from_arrays(F.array(*map(F.lit, FACTORS)), F.array(*map(F.lit, FACTORS.values())))).alias("factor", "word")
     each = each.select("*", word).where(F.col("s").contains(F.col("word")))
-    denied = F.regexp_extract("s", F.concat(F.lit("((?:不构成|不属于|未|没有|不予采信).{0,6}"), F.col("word"), F.lit(")")), F.lit(1)) != ""
+    denied = F.regexp_like("s", F.concat(F.lit("(?:不构成|不属于|未|没有|不予采信).{0,6}"), F.col("word")))
     who = accused.withColumn("alone", F.count("*").over(Window.partitionBy(id_col)) == 1)
     names = F.col("s").contains(F.col("name")) | F.coalesce(F.col("s").contains(F.col("alias")), F.lit(False))
     all_ = F.col("alone") | F.col("s").rlike("(诸|各|两)被告人.*(皆|均)")

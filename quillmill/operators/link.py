@@ -71,15 +71,10 @@ def statute_mentions(docs: DataFrame, id_col: str = "doc_id", statutes_col: str
     """
     each = docs.select(id_col, F.posexplode(statutes_col).alias("seq", "s"))
     s = F.coalesce("s", F.lit(""))
-    spans = F.transform(
-        F.arrays_zip(*[F.regexp_extract_all(s, F.lit(SPAN), F.lit(i)).alias(f"g{i}") for i in (1, 2, 3)]),
-        lambda m: F.struct(m["g1"].alias("raw"), expand_articles(F.concat(F.lit("第"), m["g2"], F.lit("条-第"), m["g3"], F.lit("条"))).alias("arts")),
-    )
+    every = lambda text, pattern, i: F.regexp_extract_all(text, F.lit(pattern), F.lit(i))
+    spans = F.zip_with(every(s, SPAN, 1), F.zip_with(every(s, SPAN, 2), every(s, SPAN, 3), lambda a, b: F.concat(F.lit("第"), a, F.lit("条-第"), b, F.lit("条"))), lambda raw, span: F.named_struct(F.lit("raw"), raw, F.lit("arts"), expand_articles(span)))
     rest = F.regexp_replace(s, SPAN, " ")
-    singles = F.transform(
-        F.arrays_zip(*[F.regexp_extract_all(rest, F.lit(_HEAD), F.lit(i)).alias(f"g{i}") for i in (1, 2)]),
-        lambda m: F.struct(m["g1"].alias("raw"), F.array(cn_to_int(m["g2"])).alias("arts")),
-    )
+    singles = F.zip_with(every(rest, _HEAD, 1), every(rest, _HEAD, 2), lambda raw, no: F.named_struct(F.lit("raw"), raw, F.lit("arts"), F.array(cn_to_int(no))))
     found = each.select(id_col, "seq", F.posexplode(F.concat(spans, singles)).alias("at", "m"))
     found = found.select(id_col, "seq", "at", F.trim("m.raw").alias("raw"), F.filter("m.arts", lambda a: a > 0).alias("arts")).where("size(arts) > 0")
     found = found.withColumn("law_norm", law_name(F.col("raw"))).where("law_norm <> ''")
@@ -152,7 +147,8 @@ def apply_edges(judgments: DataFrame, chunks: DataFrame, code_doc: str | None =
 
     Fixed routes come first, then old laws go to their section of the code, generic
     interpretations to the one of the case's system, and all others by name.  Edges are unique on
-    from_doc and to_doc; a contribution of more than `most` articles adds none.
+    from_doc and to_doc; a contribution of more than `most` articles adds none.  Aliases are written to
+    the chunks of the articles cited, for laws found by name or routed to a section of the code.
     """
     index, docs = target_index(chunks)
     m = statute_mentions(judgments).join(judgments.select("doc_id", "system"), "doc_id").where(~uncitable(F.col("law_norm")))
@@ -165,12 +161,12 @@ def apply_edges(judgments: DataFrame, chunks: DataFrame, code_doc: str | None =
     m = m.withColumn("generic", generic)
     none = F.array().cast("array<bigint>")
 
-    by_fixed = m.where("fixed is not null").select("doc_id", "law_norm", "law_raw", "articles", F.col("fixed").alias("to_doc"), F.lit(True).alias("forced"), F.lit(False).alias("by_alias"))
+    by_fixed = m.where("fixed is not null").select("doc_id", "law_norm", "law_raw", "articles", F.col("fixed").alias("to_doc"), F.lit(False).alias("scoped"), F.lit(False).alias("by_alias"))
     sections = code_sections(chunks, code_doc) if code_doc else None
     parts = [by_fixed]
     if sections is not None:
         s = m.where("section is not null").join(F.broadcast(sections), "section", "left")  # one row for each rule
-        parts.append(s.select("doc_id", "law_norm", "law_raw", F.array_intersect("articles", F.coalesce("section_articles", none)).alias("articles"), F.lit(code_doc).alias("to_doc"), F.lit(True).alias("forced"), F.lit(False).alias("by_alias")))
+        parts.append(s.select("doc_id", "law_norm", "law_raw", F.array_intersect("articles", F.coalesce("section_articles", none)).alias("articles"), F.lit(code_doc).alias("to_doc"), F.lit(True).alias("scoped"), F.lit(False).alias("by_alias")))
     system = F.try_element_at(F.create_map(*[F.lit(x) for k, v in profiles.LITIGATION.items() for x in (v, k)]), F.col("name"))
     named = index.where("not by_alias").withColumn("of", system).where("of is not null").join(docs, "doc_id")
     newest = named.groupBy("of").agg(F.max_by(F.struct("doc_id", "doc_articles"), F.struct("version", "doc_id")).alias("t")).select("of", F.col("t.doc_id").alias("to_doc"), "t.doc_articles")
@@ -178,14 +174,14 @@ def apply_edges(judgments: DataFrame, chunks: DataFrame, code_doc: str | None =
     score = F.size(F.array_intersect("articles", "doc_articles")) + F.when(F.col("of") == F.col("system"), 100).otherwise(0)
     w = Window.partitionBy("doc_id", "law_norm").orderBy(F.desc("score"), "to_doc")
     g = g.withColumn("score", score).withColumn("_no", F.row_number().over(w)).where("_no = 1 and score > 0")
-    parts.append(g.select("doc_id", "law_norm", "law_raw", "articles", "to_doc", F.lit(False).alias("forced"), F.lit(False).alias("by_alias")))
+    parts.append(g.select("doc_id", "law_norm", "law_raw", "articles", "to_doc", F.lit(False).alias("scoped"), F.lit(False).alias("by_alias")))
     routed = parts[0]
     for p in parts[1:]:
         routed = routed.unionByName(p)
     open_ = m.join(routed.select("doc_id", "law_norm"), ["doc_id", "law_norm"], "left_anti")
     best = best_target(open_.select("doc_id", "law_norm", "law_raw", "articles"), index, docs)
     misses = best.where("to_doc is null")
-    found = best.where("to_doc is not null").select(F.col("from_doc").alias("doc_id"), "law_norm", "law_raw", "articles", "to_doc", F.lit(False).alias("forced"), "by_alias")
+    found = best.where("to_doc is not null").select(F.col("from_doc").alias("doc_id"), "law_norm", "law_raw", "articles", "to_doc", F.lit(None).cast("boolean").alias("scoped"), "by_alias")
     rows = routed.unionByName(found)
     given = F.when(F.size("articles").between(1, most), F.col("articles")).otherwise(none)
     edges = rows.withColumn("given", given).groupBy(F.col("doc_id").alias("from_doc"), "to_doc").agg(F.min_by("law_raw", "law_norm").alias("law_name_raw"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("given")))).alias("articles"))
@@ -193,7 +189,7 @@ def apply_edges(judgments: DataFrame, chunks: DataFrame, code_doc: str | None =
 
     cleaned = bare_name(F.col("law_raw"))
     old = F.col("law_norm").isin(*profiles.CODE_SECTIONS) | cleaned.isin(*profiles.CODE_SECTIONS)
-    writes = F.col("forced") | F.coalesce("by_alias", F.lit(False)) | ((cleaned != "") & (cleaned != F.col("law_norm")) & ~old)
+    writes = F.coalesce("scoped", F.coalesce("by_alias", F.lit(False)) | ((cleaned != "") & (cleaned != F.col("law_norm")) & ~old))
     where = chunks.select(F.col("doc_id").alias("to_doc"), "chunk_id", F.explode(expand_articles(F.col("article_no"))).alias("article"))
     named_rows = rows.where(writes).where(F.col("to_doc").isNotNull()).select("to_doc", "law_raw", F.explode("articles").alias("article"))
     aliases = named_rows.join(where, ["to_doc", "article"]).select("to_doc", "chunk_id", F.col("law_raw").alias("alias")).distinct()

@@ -95,9 +95,13 @@ def linear_table(rows: list[list[str | None]], header_rows: int | None = None) -
     return ["；".join(f"{h}：{c}" if h else c for h, c in zip(head, r) if c) for r in merged]
 
 
-@F.udf("array<string>", useArrow=True)
-def linearize(rows):
-    return linear_table([list(r) if r is not None else [] for r in rows]) if rows is not None else []
+def linearize(rows: Column) -> Column:
+    """linear_table() of an array of rows of cells."""
+
+    def lines(rows):
+        return linear_table([list(r) if r is not None else [] for r in rows]) if rows is not None else []
+
+    return F.udf(lines, "array<string>", useArrow=True)(rows)
 
 
 TICKED, EMPTY = "[☑☒✓✔√■]", "[□☐]"

@@ -94,7 +94,7 @@ def nearest_centroid(rows: DataFrame, cents: DataFrame, threshold: float, label:
 
 def hit_at_k(hits: DataFrame, expected: DataFrame) -> DataFrame:
     """(hit_rate, queries): the share of queries one of whose hits matches its pattern."""
-    per = hits.join(expected, "query_id").groupBy("query_id").agg(F.max(F.col("said").rlike(F.col("must_match")).cast("int")).alias("hit"))
+    per = hits.join(expected, "query_id").groupBy("query_id").agg(F.max(F.regexp_like("said", F.col("must_match")).cast("int")).alias("hit"))
     return per.agg(F.avg("hit").alias("hit_rate"), F.count("*").alias("queries"))
 
 
