@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .profiles import FULL_WIDTH
+
 _EDGES = r"(?U)^\s+|\s+$"
 
 
@@ -47,16 +49,14 @@ def normalize_judgment(c: Column) -> Column:
     return normalize_statute(c, "-－—–")
 
 
-_FOLD = dict(zip("：；（），！？．０１２３４５６７８９", ":;(),!?.0123456789"))
-
-
 def clean_contract(c: Column) -> Column:
     """Line ends made alike, full-width punctuation and figures folded, blanks and blank lines thinned."""
     t = F.regexp_replace(text(c), "\r\n?", "\n")
-    t = F.translate(t, "".join(_FOLD) + "　 ", "".join(_FOLD.values()) + "  ")
-    t = F.regexp_replace(t, "[ \t]+", " ")
-    t = F.regexp_replace(t, " *\n *", "\n")
-    return strip(F.regexp_replace(t, "\n{3,}", "\n\n"))
+    t = F.translate(t, "".join(FULL_WIDTH) + "\u3000", "".join(FULL_WIDTH.values()) + " ")
+    t = F.regexp_replace(t, "[\t\f\x0b]+", " ")
+    t = F.regexp_replace(t, " {2,}", " ")
+    t = F.regexp_replace(t, "\n{3,}", "\n\n")
+    return strip(F.regexp_replace(t, " *\n *", "\n"))
 
 
 def clean_page(c: Column) -> Column:

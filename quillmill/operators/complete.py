@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.profiles import DROPPED_KEYWORDS
+
 Completer = Callable[[str], str]
 Validator = Callable[[dict], list[str]]
 
@@ -159,9 +161,6 @@ def prune_tree(tree: dict) -> dict:
     return {"label": tree.get("label", "")} | ({"children": kids} if kids else {})
 
 
-_DROPPED = frozenset("$schema $id title description default examples format pattern minLength maxLength minimum maximum exclusiveMinimum exclusiveMaximum multipleOf minItems maxItems uniqueItems minProperties maxProperties".split())
-
-
 def strict_schema(s: Any) -> Any:
     """A JSON Schema as strict tool calls want it.
 
@@ -180,12 +179,12 @@ def strict_schema(s: Any) -> Any:
             out["$def" if k == "$defs" else k] = {n: strict_schema(x) for n, x in v.items()}
         elif k == "$ref":
             out[k] = v.replace("#/$defs/", "#/$def/")
-        elif k not in _DROPPED:
+        elif k not in DROPPED_KEYWORDS:
             out[k] = strict_schema(v)
     if out.get("type") == "object" or "properties" in out:
         props = out.get("properties") or {}
         if not props:
-            pair = {"type": "object", "properties": {"key": {"type": "string"}, "value": {"type": "string"}}, "required": ["key", "value"], "additionalProperties": False}
+            pair = {"type": "object", "properties": {"k": {"type": "string"}, "v": {"type": "string"}}, "required": ["k", "v"], "additionalProperties": False}
             return {"type": "array", "items": pair}
         must = set(s.get("required", ()))
         out["properties"] = {n: x if n in must else {"anyOf": [x, {"type": "null"}]} for n, x in props.items()}
@@ -199,7 +198,7 @@ def lint_strict(s: Any, at: str = "$") -> list[str]:
         return [e for i, x in enumerate(s) for e in lint_strict(x, f"{at}[{i}]")]
     if not isinstance(s, dict):
         return []
-    wrong = [f"{at}: {k}" for k in s if k in _DROPPED]
+    wrong = [f"{at}: {k}" for k in s if k in DROPPED_KEYWORDS]
     if s.get("type") == "object" and (s.get("additionalProperties") is not False or set(s.get("required", ())) != set(s.get("properties", ()))):
         wrong.append(f"{at}: open object")
     named = ("properties", "$def")

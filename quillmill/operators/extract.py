@@ -9,20 +9,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import profiles
 from ..functions.numerals import NUMERAL, cn_amount, cn_date, term_months
 from ..functions.text import keyword_score, repair_citations, squeeze, strip, text
 
-TAILS = "司法赔偿监督审查决定书|赔偿监督审查决定书|赔偿复议决定书|赔偿调解书|赔偿决定书|赔偿判决书|决定书|裁定书|判决书|调解书|通知书"
-FIELDS = "国家赔偿|司法赔偿|刑事|行政|执行|民事|赔偿"
-
 
 def doc_type(body: Column, path: Column) -> Column:
     """The longest document type that a line of the head ends in, or that the file name has."""
     lines = F.transform(F.split(F.substring(text(body), 1, 3000), "\n"), lambda x: F.regexp_replace(x, r"(?U)\s+", ""))
     base = F.regexp_replace(F.regexp_replace(text(path), r"^.*[/\\]", ""), r"\.[^.]*$", "")
     found = F.concat(
-        F.transform(lines, lambda x: F.regexp_replace(F.regexp_extract(x, f"((?:{FIELDS})?(?:{TAILS}))$", 1), "^赔偿(?=赔偿)", "")),
-        F.regexp_extract_all(F.regexp_replace(base, r"(?U)\s+", ""), F.lit(f"((?:{FIELDS})?(?:{TAILS}))"), F.lit(1)),
+        F.transform(lines, lambda x: F.regexp_replace(F.regexp_extract(x, f"((?:{profiles.DOC_TYPE_FIELDS})?(?:{profiles.DOC_TYPE_TAILS}))$", 1), "^赔偿(?=赔偿)", "")),
+        F.regexp_extract_all(F.regexp_replace(base, r"(?U)\s+", ""), F.lit(f"((?:{profiles.DOC_TYPE_FIELDS})?(?:{profiles.DOC_TYPE_TAILS}))"), F.lit(1)),
     )
     best = F.aggregate(found, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
     return best
@@ -30,15 +28,7 @@ def doc_type(body: Column, path: Column) -> Column:
 
 CASE_NO = r"[（(][0-9]{4}[）)]\s*[\x{4e00}-\x{9fa5}A-Z0-9]{2,}[0-9]+号"
 _CASE = r"[（(]\s*(20[0-9]{2})\s*[）)]\s*([^\s\n号]*?)\s*([0-9]+)号"
-#: Case codes, longest first, and the level of trial that they stand for.
-LEVELS = tuple(sorted(((field + kind, level) for kind, level, fields in (
-    ("申", "再审审查", "民 行 刑 知民 赔 破"), ("监", "再审审查", "民 行 刑 知民 赔 破"), ("再", "再审", "民 行 刑 知民 赔 破"),
-    ("终", "二审", "民 行 刑 知民 知行 知刑 赔 破"), ("初", "一审", "民 行 刑 知民 知行 知刑 赔 破"),
-) for field in fields.split()), key=lambda x: -len(x[0])))
-BODY_LEVELS = (
-    ("本(裁定|判决)为终审", "二审"), ("死刑复核", "死刑复核"), ("再审(申请)?审查", "再审审查"), ("(重审|再审).{0,6}(决定|裁定|判决)", "再审"),
-    ("二审", "二审"), ("一审", "一审"), ("执行(变更|追加|恢复|终止|终结|拍卖|变卖|分配|复议|异议|决定|裁定)", "执行程序"),
-)
+LEVELS = tuple(sorted(((code, level) for level, codes in profiles.CASE_CODES for code in codes.split()), key=lambda x: -len(x[0])))
 
 
 def case_number(body: Column) -> Column:
@@ -51,25 +41,18 @@ def trial_level(body: Column, number: Column) -> Column:
     code = F.regexp_extract(src, _CASE, 2)
     head = F.substring(text(body), 1, 8000)
     c = F.lit("")
-    for pattern, level in reversed(BODY_LEVELS):
+    for pattern, level in reversed(profiles.BODY_LEVELS):
         c = F.when(head.rlike(pattern), level).otherwise(c)
-    for has, level in (("执[^0-9]*[0-9]+号", "执行程序"), ("委赔", "赔偿委员会决定"), ("委赔监", "赔偿委员会申诉"), ("刑复", "死刑复核")):
+    for has, level in reversed(profiles.SPECIAL_CODES):
         c = F.when(src.rlike(has), level).otherwise(c)
     for k, level in reversed(LEVELS):
         c = F.when(code.contains(k), level).otherwise(c)
     return c
 
 
-EXECUTION = (
-    ("首次执行", "首次执行|首次立案|立案执行裁定"), ("恢复执行", "恢复执行|继续执行|中止后恢复"), ("终结/终止", "终结执行|执行终结|结案终结|终止"),
-    ("执行异议", "异议"), ("执行复议", "复议"), ("追加/变更被执行人", "追加|变更被执行人"), ("拍卖/变卖", "拍卖|变卖"), ("执行分配", "分配"),
-    ("限高", "限高|限制高消费|限制消费"), ("罚款/拘留", "罚款|罚金|拘留"), ("失信名单", "失信"), ("财产执行", "查封|冻结|扣划|划拨|搜查|控制|轮候"),
-)
-
-
 def execution_subtype(name: Column) -> Column:
     c = F.lit("其他执行")
-    for label, pattern in reversed(EXECUTION):
+    for label, pattern in reversed(profiles.EXECUTION):
         c = F.when(text(name).rlike(pattern), label).otherwise(c)
     return c
 
@@ -105,8 +88,7 @@ _ART = re.compile(rf"第{_TOK}+(?:之{_TOK}+)?条(?:第{_TOK}+款)?(?:第{_TOK}+
 _TITLE = re.compile(r"《([^》\n]{1,60})》")
 _PAREN = re.compile(r"\s*(（[^）]*）|\([^)]*\)|【[^】]*】|\[[^\]]*\]|〔[^〕]*〕)")
 _JOIN = frozenset("、,，；;和及与或并至到—-~ 　")
-_GOOD = re.compile("(法典|法律|法|条例|规定|解释|决定|办法|规则|纪要)$")
-_BAD = re.compile("合同|协议|议定书|章程|指南|细则|目录|名录|报告|汇报|说明|情况|表$|清单|证书|许可证|执照|证明|授权书|通知书|告知书|答复|批复|申请书")
+_GOOD, _BAD = re.compile(profiles.NORMATIVE), re.compile(profiles.NOT_NORMATIVE)
 
 
 def statute_list(body: str, reach: int = 160, most: int = 50) -> list[str]:
@@ -150,11 +132,12 @@ def statutes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 # --- amendments ---
 
 _O, _C = "[《〈]", "[》〉]"
+_NO = f"[{profiles.CN_NUM}]{{1,3}}"
 AMENDS = (
-    rf"关于修改{_O}([^》〉]+?){_C}[^。]*?的决定",
-    rf"[一二三四五六七八九十百千零]{{1,3}}、\s*修改{_O}([^》〉]+?){_C}",
-    rf"[一二三四五六七八九十百千零]{{1,3}}、\s*对{_O}([^》〉]+?){_C}(?:相应|予以|作如下|作出)修改",
-    rf"（[一二三四五六七八九十百千零]{{1,3}}）\s*{_O}([^》〉]+?){_C}(?=(?:[^（）()]|[（(][^）)]*[）)]){{0,240}}?(?:修改为|删去|增加|改为))",
+    rf"关于修改{_O}(.+?){_C}.*?的决定",
+    rf"{_NO}、\s*修改{_O}(.+?){_C}",
+    rf"{_NO}、\s*对{_O}(.+?){_C}(?:作出|作如下|予以|相应)修改",
+    rf"（{_NO}）\s*{_O}([^》〉]+?){_C}(?=(?:[^（）()]|[（(][^）)]*[）)]){{0,240}}?(?:{profiles.STRICT_EDITS}))",
 )
 
 
@@ -176,31 +159,22 @@ def repealed_laws(body: Column) -> Column:
     """Names of the laws in sentences on repeal, without decisions, bills and notices."""
     parts = F.regexp_extract_all(squeeze(body), F.lit("废止([^。；;]+)"), F.lit(1))
     names = F.flatten(F.transform(parts, lambda p: F.regexp_extract_all(p, F.lit(rf"{_O}(.+?){_C}"), F.lit(1))))
-    return _once(F.filter(names, lambda n: ~n.rlike("公告|的议案|的决定|提请修改|提请废止|关于修改|关于废止")))
+    return _once(F.filter(names, lambda n: ~n.rlike(profiles.NO_REPEALED_LAW)))
 
 
 # --- contracts ---
 
-KEYWORDS = {
-    "buy_sell": "验收 交货 供货 购销 买卖 采购",
-    "labor": "竞业 解除 加班 工资 社保 试用期 聘用 用工 劳动合同",
-    "lease": "退租 续租 押金 租金 承租 出租 租赁",
-    "nda": "保密期限 保密信息 接收方 披露方 NDA 不披露协议 保密协议",
-    "outsourcing": "服务费 里程碑 服务等级 SLA 运维 咨询服务 技术服务 服务外包",
-    "software": "用户数 著作权 DPA 数据使用协议 数据许可 API SaaS 授权协议 使用许可 软件许可",
-}
+KEYWORDS = profiles.KEYWORDS
 UNCERTAIN = "uncertain"
-_ANCHORS = ("保密期限", "保密信息", "接收方", "披露方", r"\bNDA\b", "不披露协议", "保密协议")
-_INSURANCE = "保费|宽限期|退保|核保|现金价值|身故|投保人|被保险人|保单|保险"
 
 
 def nda_gate(title: Column, body: Column) -> Column:
     """Two anchors at least, counted in title and body, and no word of insurance."""
     n = F.lit(0)
     for c in (text(title), text(body)):
-        for a in _ANCHORS:
+        for a in profiles.NDA_ANCHORS:
             n = n + c.rlike(f"(?i){a}").cast("int")
-    return (n >= 2) & ~text(title).rlike(_INSURANCE) & ~text(body).rlike(_INSURANCE)
+    return (n >= 2) & ~text(title).rlike(profiles.INSURANCE) & ~text(body).rlike(profiles.INSURANCE)
 
 
 def classify(docs: DataFrame, keywords: dict[str, str] = KEYWORDS, title: str = "title", body: str = "body", least: int = 3, margin: int = 1, chars: int = 2000, gates: dict[str, Column] | None = None) -> DataFrame:
@@ -262,34 +236,28 @@ def dispositions(docs: DataFrame, accused: DataFrame, id_col: str = "doc_id", te
     return rows.groupBy(id_col, "name").agg(*map(last, ("offence", "term", "months", "fine")), F.max("probation").alias("probation"), F.max("offset").alias("offset"))
 
 
-FACTORS = {"accessory": "从犯", "confession": "坦白", "plead_guilty": "认罪认罚", "recidivist": "累犯", "self_surrender": "自首"}
-
-
 def factors(docs: DataFrame, accused: DataFrame, id_col: str = "doc_id", text_col: str = "opinion") -> DataFrame:
     """(id, name, factor, holds): the last sentence that mentions a factor decides; a negation up to six characters before denies it."""
     each = docs.select(id_col, F.posexplode(F.split(text(F.col(text_col)), "[。！？]")).alias("i", "s"))
-    word = F.explode(F.map_from_arrays(F.array(*map(F.lit, FACTORS)), F.array(*map(F.lit, FACTORS.values())))).alias("factor", "word")
+    word = F.explode(F.map_from_arrays(F.array(*map(F.lit, profiles.FACTORS)), F.array(*map(F.lit, profiles.FACTORS.values())))).alias("factor", "word")
     each = each.select("*", word).where(F.col("s").contains(F.col("word")))
-    denied = F.regexp_like("s", F.concat(F.lit("(?:不构成|不属于|未|没有|不予采信).{0,6}"), F.col("word")))
+    denied = F.regexp_like("s", F.concat(F.lit(f"(?:{profiles.DENIALS}).{{0,6}}"), F.col("word")))
     who = accused.withColumn("alone", F.count("*").over(Window.partitionBy(id_col)) == 1)
     names = F.col("s").contains(F.col("name")) | F.coalesce(F.col("s").contains(F.col("alias")), F.lit(False))
-    all_ = F.col("alone") | F.col("s").rlike("(诸|各|两)被告人.*(皆|均)")
+    all_ = F.col("alone") | F.col("s").rlike(profiles.ALL_ACCUSED)
     any_named = F.max(names).over(Window.partitionBy(id_col, "i", "factor"))
     hits = each.withColumn("denied", denied).join(who, id_col).withColumn("named", names).withColumn("any_named", any_named)
     hits = hits.where(F.col("named") | (~F.col("any_named") & all_))
     return hits.groupBy(id_col, "name", "factor").agg(F.max_by(~F.col("denied"), "i").alias("holds"))
 
 
-_WEIGHTS = {"本院认为": 3, "依法": 2, "系从犯": 2, "自首": 2, "认罪认罚": 2, "从重": 1, "从轻": 1, "减轻": 1, "构成": 1, "证据": 1, "事实": 1, "情节": 1, "危害": 1, "认定": 1, "坦白": 1}
-
-
 def opinion_summary(opinion: Column, k: int = 3) -> Column:
     """The k sentences of most weight, the shorter first among equals, each once."""
     sents = F.array_distinct(F.filter(F.transform(F.split(text(opinion), "[。！？]"), strip), lambda s: s != ""))
 
     def weight(s: Column) -> Column:
         total = F.lit(0)
-        for word, n in _WEIGHTS.items():
+        for word, n in profiles.OPINION_WEIGHTS.items():
             total = total + F.when(s.contains(word), n).otherwise(0)
         return total
 
@@ -299,5 +267,5 @@ def opinion_summary(opinion: Column, k: int = 3) -> Column:
 
 def dispute_focus(opinion: Column, defence: Column, most: int = 5) -> Column:
     """Sentences on what is in dispute, in order, once each."""
-    sents = F.filter(F.transform(F.split(F.concat_ws("。", text(opinion), text(defence)), "。"), strip), lambda s: s.rlike("焦点|争议|辩护"))
+    sents = F.filter(F.transform(F.split(F.concat_ws("。", text(opinion), text(defence)), "。"), strip), lambda s: s.rlike(profiles.DISPUTE[0]) & s.rlike(profiles.DISPUTE[1]))
     return F.slice(F.array_distinct(F.transform(sents, lambda s: F.concat(s, F.lit("。")))), 1, most)

@@ -7,7 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_runs, squeeze, text, undouble
+from ..functions import profiles
+from ..functions.numerals import let
+from ..functions.text import collapse_runs, squeeze, strip, text, undouble
 
 
 def cell(c: Column) -> Column:
@@ -43,13 +45,10 @@ def nearest_within(ticks: DataFrame, boxes: DataFrame, radius: float = 25.0, pag
     return hits.groupBy(page, "tick").agg(F.min_by("box", F.struct("d", "box")).alias("box"))
 
 
-HEADER_WORDS = "序号|名称|数量|单价|金额|规格|备注|单位|型号|合计|项目|日期"
-
-
 def probable_table(rows: Column) -> Column:
-    """Two rows and columns at least, two header words, and short cells."""
-    head = F.flatten(F.slice(rows, 1, 2))
-    terms = F.size(F.filter(head, lambda c: F.coalesce(c, F.lit("")).rlike(HEADER_WORDS)))
+    """Two rows and columns at least, two known terms in the first row, and short cells."""
+    head = F.transform(F.get(rows, F.lit(0)), lambda c: F.coalesce(c, F.lit("")))
+    terms = F.size(F.filter(F.array(*map(F.lit, profiles.HEADER_TERMS)), lambda t: F.exists(head, lambda c: F.contains(c, t))))
     cells = F.flatten(rows)
     mean = F.aggregate(cells, F.lit(0), lambda a, c: a + F.length(F.coalesce(c, F.lit("")))) / F.greatest(F.size(cells), F.lit(1))
     wide = F.array_max(F.transform(rows, lambda r: F.size(r)))
@@ -104,14 +103,33 @@ def linearize(rows: Column) -> Column:
     return F.udf(lines, "array<string>", useArrow=True)(rows)
 
 
-TICKED, EMPTY = "[☑☒✓✔√■]", "[□☐]"
+_TICK = "^(☐✓|☑|✓|☐ ✓)$"
 
 
 def checkbox_lines(c: Column) -> Column:
-    """Lines with boxes as Markdown tasks: ticked ones `- [x]`, empty ones `- [ ]`."""
-    lines = F.split(text(c), "\n")
-    done = lambda x: F.regexp_replace(F.regexp_replace(x, rf"^\s*{TICKED}\s*", "- [x] "), rf"^\s*{EMPTY}\s*", "- [ ] ")
-    return F.array_join(F.transform(lines, done), "\n")
+    """Lines that begin with a box as Markdown tasks, `- [x]` for ticked ones.
+
+    A tick alone on a line ticks the line before; a contract at a fixed price is ticked if its line
+    or the next one states an amount.
+    """
+    kind = "array<struct<line:string,on:boolean>>"
+    item = lambda line, on: F.array(F.struct(line.alias("line"), on.alias("on"))).cast(kind)
+
+    def step(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        ticked = F.concat(F.slice(done, 1, F.size(done) - 1), item(F.regexp_replace(last["line"], "^([^☐]*)☐", "$1☑"), F.lit(True)))
+        return F.when(strip(x).rlike(_TICK) & (F.size(done) > 0), ticked).otherwise(F.concat(done, item(x, F.contains(x, F.lit("☑")))))
+
+    def shown(x: Column, near: Column) -> Column:
+        priced = F.contains(x["line"], F.lit(profiles.FIXED_PRICE)) & near.rlike(profiles.AMOUNT)
+        box = r"^([ \t]*)([☐☑])\s*(.*)$"
+        body = F.btrim(F.regexp_replace(F.regexp_extract(x["line"], box, 3), "[✓☐]", ""), F.lit("：: \t"))
+        mark = F.when(x["on"] | priced, "x").otherwise(" ")
+        return F.when(x["line"].rlike(box), F.concat(F.regexp_extract(x["line"], box, 1), F.lit("- ["), mark, F.lit("] "), body)).otherwise(x["line"])
+
+    lines = F.aggregate(F.split(text(c), "\n"), F.array().cast(kind), step)
+    near = lambda all_, x, i: F.concat_ws(" ", x["line"], F.get(all_, i + 1)["line"])
+    return F.array_join(let(lines, lambda all_: F.transform(all_, lambda x, i: shown(x, near(all_, x, i)))), "\n")
 
 
 def markup_text(c: Column) -> Column:

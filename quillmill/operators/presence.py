@@ -5,23 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import profiles
 from ..functions.text import text
 
-#: Contract type: its items; an asterisk marks those that are required.
-ITEMS = {
-    "buy_sell": "after_sales breach_liability* delivery* dispute_resolution* inspection* ip_warranty packaging party_info* price_payment* quality* quantity* risk_title_transfer subject*",
-    "labor": "contract_term* dispute_resolution job_content* labor_protection* non_compete party_info* probation remuneration* social_insurance* termination* training working_time*",
-    "lease": "deposit* dispute_resolution* maintenance* party_info* premises* purpose* rent_payment* renewal restoration sublease term* termination*",
-    "nda": "breach_liability* confidential_info* dispute_resolution* exceptions* injunction obligations* party_info* permitted_use* return_destroy* survival* term*",
-    "outsourcing": "acceptance* breach_liability* change_control confidentiality* data_protection deliverables* dispute_resolution* fee_payment* ip_ownership* party_info* service_scope* sla* subcontract",
-    "software": "audit breach_liability* confidentiality* data_protection* dispute_resolution* fee_payment* grant_scope* ip_ownership* party_info* restrictions* support term* warranty",
-}
-
-
-def item_rows(spark, items: dict[str, str] = ITEMS) -> DataFrame:
-    """(contract_type, id, required, seq)."""
-    rows = [(t, x.rstrip("*"), x.endswith("*"), i) for t, xs in items.items() for i, x in enumerate(xs.split())]
-    return spark.createDataFrame(rows, "contract_type string, id string, required boolean, seq int")
+def item_rows(spark, items: dict[str, str] = profiles.PRESENCE_ITEMS) -> DataFrame:
+    """(contract_type, id, label, required, seq) from lines of id, label and an asterisk for required ones."""
+    rows = [(kind, *line.removesuffix(" *").split(" ", 1), line.endswith(" *"), i) for kind, lines in items.items() for i, line in enumerate(lines.strip().split("\n"))]
+    return spark.createDataFrame(rows, "contract_type string, id string, label string, required boolean, seq int")
 
 
 def presence_matrix(docs: DataFrame, clauses: DataFrame, items: DataFrame) -> DataFrame:
@@ -84,20 +74,19 @@ def mentioned_but_empty(body: Column, wanted: dict[str, tuple[str, Column]]) ->
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
-STAGES = {"一审": "first_instance", "再审": "retrial", "二审": "second_instance"}
-
-
 def procedure_stage(level: Column) -> Column:
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv]), text(level)), F.lit("first_instance"))
-
-
-PARTY_TYPES = ("company", "government", "person")
+    """The stage that a level of trial names; first instance if it names none."""
+    said = F.trim(text(level))
+    stage = F.when(F.contains(said, F.lit("再审")) | (said == "retrial"), "retrial").otherwise("first_instance")
+    for name, levels in reversed(profiles.PROCEDURE_STAGES):
+        stage = F.when(said.isin(*levels), name).otherwise(stage)
+    return stage
 
 
 def party_type(c: Column) -> Column:
     t = F.lower(F.trim(text(c)))
     t = F.when(t == "organization", "company").otherwise(t)
-    return F.when(t.isin(*PARTY_TYPES), t).otherwise("other")
+    return F.when(t.isin(*profiles.PARTY_TYPES), t).otherwise("other")
 
 
 def filled(new: Column, old: Column, default: Column) -> Column:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import profiles
 from ..functions.text import level_label, strip, text
 
 _N = "[0-9〇零两一二三四五六七八九十百千]+"
@@ -221,45 +222,16 @@ def section_chunks(sections: DataFrame, id_col: str = "doc_id", order: str = "se
     return grouped.mapInArrow(run, SECTION_CHUNK)
 
 
-#: Judgment sections by lines that begin them: common ones, those of a case system, weak ones.
-_DOC = "(刑事|民事|行政|执行|国家赔偿)?(判决书|裁定书|决定书|调解书|赔偿决定书|赔偿监督审查决定书)"
-TITLE = f"^{_DOC}$"
-COMMON = (
-    ("案号行", r"^\s*[（(][0-9]{4}[）)][^号\n]{0,40}号\s*$"),
-    ("主文", r"^(判决如下|裁定如下|决定如下|裁判主文)\s*$"),
-    ("依据", r"^(根据|依照)[^。\n]{0,80}$"),
-    ("理由", r"^(本院(经审查|经审理)?认为|合议庭认为|法院认为|判决理由|本院意见)\s*$"),
-    ("诉辩主张", r"^事实[与和]理由([:：][^\n]{0,80})?$"),
-    ("查明", r"^(本院查明|经审理查明|查明事实|案件基本事实)\s*$"),
-    ("尾部", r"^(书记员|人民陪审员|审判员|审判长|本裁定为终审裁定|本判决为终审判决)"),
-    ("一审判决", r"^(一审|原审)(法院)?(决定|裁定|判决)[^。\n]{0,10}[:：]?$|^(一审|原审)[^。\n]{0,40}(决定|裁定|判决)如下"),
-    ("一审查明", r"^(原审|一审)法院(查明|认定事实|认为)[:：]?$"),
-    ("二审争议焦点", r"^(本案)?二审[^\n]{0,6}争议焦点[:：]?$"),
-    ("争议焦点", r"^(本案)?争议焦点[:：]?$"),
-)
-BY_SYSTEM = {
-    "民事": (("诉讼请求", "^(反诉请求|上诉请求|诉讼请求)[:：]?$"), ("答辩意见", "^(异议|抗辩|辩称|答辩)[^。\n]{0,8}[:：]?$"), ("证据", "^证据(与理由|采信意见|目录|清单)?[:：]?$")),
-    "刑事": (("起诉书指控", "^(检察机关|公诉机关|起诉书)指控[:：]?$"), ("被告人辩解与辩护意见", "^(辩护意见|辩护人意见|被告人(供述与)?辩解)[:：]?$"), ("证据", "^(书证|证人证言|电子数据|辨认笔录|勘验检查笔录|鉴定意见|证据(综合)?分析)[:：]?$")),
-    "行政": (("被诉行政行为", "^(被诉(具体)?行政行为|行政行为概况)[:：]?$"), ("复议决定", "^(行政复议决定|复议结论|复议情况)[:：]?$"), ("诉辩主张", "^(原告|被告|第三人|上诉人|被上诉人).{0,6}(意见|辩称|主张|诉称)[:：]?$"), ("证据", "^证据(与采信|证明力评判)?[:：]?$")),
-    "国家赔偿": (("赔偿请求", "^(申请赔偿事项|赔偿请求)[:：]?$"), ("赔偿决定依据", "^赔偿(决定理由|项目|数额计算)[:：]?$")),
-    "执行": (("执行当事人", "^(案外人|被执行人|申请执行人)[：:]"), ("执行经过", "^执行(情况|查明|经过)[:：]?$"), ("执行异议", "^((案外人)?执行异议|复议请求)[:：]?$")),
-}
-WEAK = (
-    ("审理经过", "^.{0,12}(本院(受理后|于.*?受理后)|公开开庭审理|依法组成合议庭|本案现已审理终结|审理经过)"),
-    ("原审情况", "^.{0,12}(一审法院|原审法院).{0,12}作出[（(][0-9]{4}[）)].{0,80}(裁定|判决)"),
-)
-ROLES = "公民身份号码|统一社会信用代码|住址|住所地|委托(诉讼)?代理人|代理人|法定代表人|案外人|申请执行人|被执行人|申诉人|被申诉人|赔偿请求人|被申请人|申请人|第三人|被告|原告|被上诉人|上诉人"
-_NO_PARTY = "诉讼请求|上诉请求|反诉请求|申请|请求|诉称|主张|答辩|辩称|辩护|意见|陈述|情况|事实[与和]理由"
-PARTY = rf"(?U)^({ROLES})([（(][^：:（）()]{{0,30}}[）)])*(\s*[：:]|[，,。；;、\s]*(?!{_NO_PARTY}|人)|$)"
+PARTY = rf"(?U)^({profiles.PARTY_ROLES})([（(][^：:（）()]{{0,30}}[）)])*(\s*[：:]|[：:，,。；;、\s]*+(?!{profiles.NO_PARTY}))"
 
 
 def section_name(line: Column, system: str = "") -> Column:
     """The section that a line begins, or null; titles first, then the system's, common and weak ones."""
     s = strip(line)
     c = F.lit(None).cast("string")
-    for name, pattern in reversed((*BY_SYSTEM.get(system, ()), *COMMON, *WEAK)):
+    for name, pattern in reversed((*profiles.SYSTEM_SECTIONS.get(system, ()), *profiles.SECTIONS, *profiles.WEAK_SECTIONS)):
         c = F.when(s.rlike(pattern), name).otherwise(c)
-    return F.when(F.regexp_replace(s, r"(?U)\s+", "").rlike(TITLE), "标题").otherwise(c)
+    return F.when(F.regexp_replace(s, r"(?U)\s+", "").rlike(profiles.TITLE), "标题").otherwise(c)
 
 
 def is_party(line: Column) -> Column:

@@ -270,9 +270,9 @@ def linearize_table(spark, sf):
     return d.select(F.explode(pages.linearize(F.col("rows"))).alias("line"))
 
 
-@query(rows_sql("text string, cell string", [("- [x] 固定价\n- [ ] 其他\n无", "买卖合同")]))
+@query(rows_sql("text string, cell string", [("- [x] 固定价\n- [ ] 其他\n- [x] 固定总价合同\n共计壹佰元\n  - [x] 乙\n无", "买卖合同")]))
 def checkbox_repair(spark, sf):
-    d = spark.createDataFrame([("☑ 固定价\n□其他\n无", "买买卖卖合合同同")], "t string, c string")
+    d = spark.createDataFrame([("☑ 固定价\n☐其他：\n☐ 固定总价合同\n共计壹佰元\n  ☐ 乙\n✓\n无", "买买卖卖合合同同")], "t string, c string")
     return d.select(pages.checkbox_lines(F.col("t")).alias("text"), pages.cell(F.col("c")).alias("cell"))
 
 
@@ -309,7 +309,7 @@ def seed_clause_backfill(spark, sf):
     return got.select("doc_id", F.array_join(F.transform("clauses", lambda c: F.concat(c["clause_id"], F.lit(":"), c["text"])), "|").alias("clauses"))
 
 
-_STAGES = [("一审", "Organization", "first_instance", "company"), ("再审", "person", "retrial", "person"), ("二审", "club", "second_instance", "other"), (None, None, "first_instance", "other")]
+_STAGES = [("一审", "Organization", "first_instance", "company"), ("再审", "natural_person", "retrial", "natural_person"), ("二审", "club", "second_instance", "other"), (None, None, "first_instance", "other")]
 
 
 @query(rows_sql("level string, stage string, party string", [(a, c, d) for a, _, c, d in _STAGES]))

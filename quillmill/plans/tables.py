@@ -392,7 +392,7 @@ def presence_matrix(spark, sf):
     p = F.col("l_partkey") % 4
     tag = F.when(p == 0, "term").when(p == 1, "survival").when(p == 2, "training").otherwise("other")
     clauses = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc_id"), F.col("l_linenumber").alias("order"), F.col("l_linenumber").cast("string").alias("chunk_id"), F.array(tag).alias("clause_type"))
-    items = presence.item_rows(spark, {"nda": "term* survival*", "lease": "term* renewal", "labor": "training"})
+    items = presence.item_rows(spark, {"nda": "term 期限 *\nsurvival 存续 *", "lease": "term 期限 *\nrenewal 续租", "labor": "training 培训"})
     return presence.presence_matrix(docs, clauses, items).withColumn("sources", F.array_join("sources", ","))
 
 
