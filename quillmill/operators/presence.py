@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import profiles
 from ..functions.text import text
+from .blocks import blocks, bounded, united
 
 def item_rows(spark, items: dict[str, str] = profiles.PRESENCE_ITEMS) -> DataFrame:
     """(contract_type, id, label, required, seq) from lines of id, label and an asterisk for required ones."""
@@ -21,7 +22,7 @@ def presence_matrix(docs: DataFrame, clauses: DataFrame, items: DataFrame) -> Da
     """
     each = clauses.select("doc_id", "order", "chunk_id", F.explode(F.array_distinct("clause_type")).alias("id"))
     by = each.groupBy("doc_id", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("order", "chunk_id"))), lambda s: s["chunk_id"]).alias("sources"))
-    wanted = docs.select("doc_id", "contract_type").join(F.broadcast(items), "contract_type")  # a rule table, not data
+    wanted = docs.select("doc_id", "contract_type").join(bounded(items), "contract_type")
     return wanted.join(by, ["doc_id", "id"], "left").select("doc_id", "contract_type", "id", "required", F.col("sources").isNotNull().alias("present"), F.coalesce("sources", F.array().cast("array<string>")).alias("sources"))
 
 
@@ -39,8 +40,9 @@ def matches(body: Column, tags: Column, rule: Column) -> Column:
 
 
 def rule_presence(clauses: DataFrame, rules: DataFrame) -> DataFrame:
-    """(doc_id, id, present, sources): which clauses meet each rule; rules (id, rule) are a small table."""
-    hit = clauses.crossJoin(F.broadcast(rules)).withColumn("how", matches(F.col("text"), F.col("clause_type"), F.col("rule")))
+    """(doc_id, id, present, sources): which clauses meet each rule; rules (id, rule) go out in blocks of bounded size."""
+    how = matches(F.col("text"), F.col("clause_type"), F.col("rule"))
+    hit = united([clauses.crossJoin(F.broadcast(b)) for b in blocks(rules, "id")]).withColumn("how", how)
     got = F.array_sort(F.collect_list(F.when(F.col("how").isNotNull(), F.struct("order", "clause_id"))))
     return hit.groupBy("doc_id", "id").agg(F.transform(got, lambda s: s["clause_id"]).alias("sources")).withColumn("present", F.size("sources") > 0)
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK, blocks, united
+
 Embedder = Callable[[list[str]], np.ndarray]
 
 
@@ -48,11 +50,7 @@ def norm(v: Column) -> Column:
     return F.sqrt(inner_product(v, v))
 
 
-#: Up to so many queries are broadcast to the vectors in one go; more are dealt out in blocks.
-QUERY_BLOCK = 4096
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 8, where: Column | None = None, digits: int = 6, block: int = QUERY_BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 8, where: Column | None = None, digits: int = 6, block: int = BLOCK) -> DataFrame:
     """(query_id, vec_id, score, rank): the k vectors of the greatest inner product.
 
     vectors (vec_id, embedding, …) may be filtered first; queries are (query_id, query).  The
@@ -60,16 +58,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 8, where: Column | No
     to the lesser id.
     """
     v = vectors.where(where) if where is not None else vectors
-    n = queries.count()
-    blocks = [queries] if n <= block else [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(-(-n // block))) == i) for i in range(-(-n // block))]
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = None
-    for q in blocks:
+    out = []
+    for q in blocks(queries, "query_id", block):
         scored = v.select("vec_id", "embedding").crossJoin(F.broadcast(q.select("query_id", "query")))
         scored = scored.select("query_id", "vec_id", F.round(inner_product(F.col("embedding"), F.col("query")), digits).alias("score"))
-        ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        out = ranked if out is None else out.unionByName(ranked)
-    return out
+        out.append(scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    return united(out)
 
 
 def centroids(rows: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
@@ -80,15 +75,16 @@ def centroids(rows: DataFrame, label: str = "label", vector: str = "embedding")
     return packed.select(label, F.when(n > 0, F.transform("c", lambda x: x / n)).otherwise(F.col("c")).alias("centroid"))
 
 
-def nearest_centroid(rows: DataFrame, cents: DataFrame, threshold: float, label: str = "label", id_col: str = "vec_id", vector: str = "embedding", digits: int = 6) -> DataFrame:
+def nearest_centroid(rows: DataFrame, cents: DataFrame, threshold: float, label: str = "label", id_col: str = "vec_id", vector: str = "embedding", digits: int = 6, block: int = BLOCK) -> DataFrame:
     """(id, vector_label, vector_score): the nearest centroid, `uncertain` below the threshold.
 
-    There is a centroid for each label, so they are few and broadcast.
+    Centroids go out in blocks of bounded size; each task keeps its best, and ties go to the lesser label.
     """
     c = cents.select(F.col(label).alias("vector_label"), "centroid")
-    scored = rows.select(id_col, vector).crossJoin(F.broadcast(c)).withColumn("vector_score", F.round(inner_product(F.col(vector), F.col("centroid")), digits))
     w = Window.partitionBy(id_col).orderBy(F.desc("vector_score"), "vector_label")
-    best = scored.withColumn("_no", F.row_number().over(w)).where("_no = 1")
+    score = F.round(inner_product(F.col(vector), F.col("centroid")), digits)
+    parts = [rows.select(id_col, vector).crossJoin(F.broadcast(b)).select(id_col, "vector_label", score.alias("vector_score")) for b in blocks(c, "vector_label", block)]
+    best = united(parts).withColumn("_no", F.row_number().over(w)).where("_no = 1")
     return best.select(id_col, F.when(F.col("vector_score") >= threshold, F.col("vector_label").cast("string")).otherwise("uncertain").alias("vector_label"), "vector_score")
 
 
@@ -99,12 +95,12 @@ def hit_at_k(hits: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 class Inverted:
-    """Approximate search: vectors in the cells of their nearest centres, few cells a query.
+    """Approximate search: vectors in the cells of their nearest centres, some cells a query.
 
     Centres are fitted on a sample of `sample` vectors at most; all vectors are indexed.
     """
 
-    def __init__(self, cells: int = 16, sample: int = 20_000, rounds: int = 8, seed: int = 1):
+    def __init__(self, cells: int = 32, sample: int = 20_000, rounds: int = 8, seed: int = 1):
         self.cells, self.sample, self.rounds, self.seed = cells, sample, rounds, seed
 
     def fit(self, vectors: DataFrame) -> Inverted:
@@ -128,7 +124,7 @@ class Inverted:
     def index(self, vectors: DataFrame) -> DataFrame:
         return vectors.withColumn("cell", F.get(self._ranked(F.col("embedding")), F.lit(0)))
 
-    def search(self, indexed: DataFrame, queries: DataFrame, k: int = 8, probes: int = 6, digits: int = 6) -> DataFrame:
+    def search(self, indexed: DataFrame, queries: DataFrame, k: int = 8, probes: int = 22, digits: int = 6) -> DataFrame:
         q = queries.select("query_id", "query", F.explode(F.slice(self._ranked(F.col("query")), 1, probes)).alias("cell"))
         scored = indexed.join(q, "cell").select("query_id", "vec_id", F.round(inner_product(F.col("embedding"), F.col("query")), digits).alias("score"))
         w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
