@@ -103,12 +103,19 @@ def target_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def best_target(mentions: DataFrame, index: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """mentions with to_doc: of the documents of that name the one that shares most articles, then the latest, then the least id; null for none."""
-    m = mentions.withColumnRenamed(id_col, "from_doc")
-    hits = m.join(index.withColumnRenamed("doc_id", "cand"), m["law_norm"] == index["name"], "left").join(docs.withColumnRenamed("doc_id", "cand"), "cand", "left")
-    shared = F.size(F.array_intersect("articles", F.coalesce("doc_articles", F.array().cast("array<bigint>"))))
-    w = Window.partitionBy("from_doc", "law_norm").orderBy(F.desc(shared), F.desc("version"), "cand")
-    return hits.withColumn("_no", F.row_number().over(w)).where("_no = 1").select("from_doc", "law_norm", "law_raw", "articles", F.col("cand").alias("to_doc"), "by_alias")
+    """mentions with to_doc: of the documents of that name the one that shares most articles, then the latest, then the least id; null for none.
+
+    mentions are unique on document and law.  Candidates are ranked once for each law and set of
+    articles, however many documents cite these.
+    """
+    none = F.array().cast("array<bigint>")
+    m = mentions.withColumnRenamed(id_col, "from_doc").withColumn("_arts", F.array_sort(F.coalesce("articles", none)))
+    asked = m.select("law_norm", "_arts").distinct()
+    hits = asked.join(index.withColumnRenamed("doc_id", "cand"), asked["law_norm"] == index["name"]).join(docs.withColumnRenamed("doc_id", "cand"), "cand", "left")
+    shared = F.size(F.array_intersect("_arts", F.coalesce("doc_articles", none)))
+    w = Window.partitionBy("law_norm", "_arts").orderBy(F.desc(shared), F.desc("version"), "cand")
+    best = hits.withColumn("_no", F.row_number().over(w)).where("_no = 1").select("law_norm", "_arts", F.col("cand").alias("to_doc"), "by_alias")
+    return m.join(best, ["law_norm", "_arts"], "left").select("from_doc", "law_norm", "law_raw", "articles", "to_doc", "by_alias")
 
 
 def code_sections(chunks: DataFrame, code_doc: str, rules=profiles.SECTION_RULES) -> DataFrame:
