@@ -7,7 +7,8 @@ differ at few steps.  The output is not kept.  Of it SAMPLES steps are read, eac
 least random rank below the output's length, so that outputs of nearly equal length are read at
 the same steps; a fingerprint has four bits of a hash of each character read.
 
-Near texts are found by bands of sampled bits, and verified by the fingerprints' likeness.
+Near texts are found by bands of sampled bits, and verified by the fingerprints' likeness
+(near_texts()).  There is one band more than samples may differ, so that one agrees in full.
 """
 
 from __future__ import annotations
@@ -23,10 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .buckets import CHUNK, verified_links
 from .common import materialise, table
 from .components import connected_components
 
 CLASSES, PERIOD, SAMPLES, SEED = 64, 4096, 128, 2016
+#: Texts are near if so much of their samples agrees.
+NEAR = 0.9
 #: Texts above so many characters are walked in pieces of that size.
 PIECE = 1 << 16
 
@@ -145,6 +149,55 @@ def likeness(a: list[int] | str, b: list[int] | str) -> float:
     return sum(x == y for x, y in zip(a, b)) / SAMPLES
 
 
+def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([to_hex(fingerprint(t.as_py())) for t in batch.column(1)], pa.string())], names=["doc_id", "fingerprint"])
+
+
+def _forest(differ: int):
+    """Links that join what differs in so many samples at most, one fewer than nodes for each component."""
+
+    def run(prints: list[str]) -> Iterator[tuple[int, int]]:
+        f = np.frombuffer("".join(prints).encode(), np.uint8).reshape(-1, SAMPLES)
+        rest = np.arange(len(f))
+        while len(rest):
+            queue, rest = [int(rest[0])], rest[1:]
+            while queue and len(rest):
+                q = queue.pop()
+                near = (f[rest] != f[q]).sum(1) <= differ
+                hit = rest[near].tolist()
+                yield from ((q, x) for x in hit)
+                queue += hit
+                rest = rest[~near]
+
+    return run
+
+
+def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = NEAR, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for each row of docs.
+
+    component_id is the least id that can be reached over pairs of a likeness of least or more.
+    Every such pair is met: if d samples may differ, one of d + 1 bands of samples agrees.  Only
+    distinct fingerprints are keyed.  Null texts are empty; a repeated row comes back as often; a
+    group of null ids only has a null component_id.
+    """
+    differ = next(d for d in range(SAMPLES, -1, -1) if (SAMPLES - d) / SAMPLES >= least or d == 0)
+    if differ >= SAMPLES:
+        raise ValueError("least must be above 0")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    prints = materialise(own.mapInArrow(_fingerprint_batches, "doc_id long, fingerprint string"))
+    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    distinct = materialise(distinct.withColumn("node", F.monotonically_increasing_id()))
+    edges = np.linspace(0, SAMPLES, differ + 2).round().astype(int).tolist()
+    bands = [F.xxhash64(F.lit(i), F.substring("fingerprint", a + 1, b - a)) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+    keyed = distinct.select(F.explode(F.array_distinct(F.array(*bands))).alias("key"), "node", F.lit(1).alias("weight"))
+    contents = lambda nodes: distinct.join(nodes, "node", "left_semi").select("node", F.col("fingerprint").alias("content"))
+    roots = connected_components(verified_links(keyed, contents, _forest(differ), chunk))
+    rooted = materialise(distinct.join(roots, "node", "left").select("fingerprint", "least", F.coalesce("root", "node").alias("root")))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
 RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 DONE = f"doc_id long, {RESULT}, part int, first boolean, text string"
 KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.string()]
@@ -220,3 +273,7 @@ def neighbour_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op8_edit_embedding(spark, sf_dir: str) -> DataFrame:
     return neighbour_likeness(table(spark, sf_dir, "documents"))
+
+
+def op8_near_texts(spark, sf_dir: str) -> DataFrame:
+    return near_texts(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chatformat import OP2_SQL, op2_chat_format
-from .editembed import op8_edit_embedding
+from .editembed import op8_edit_embedding, op8_near_texts
 from .htmltext import op7_html_trees
 from .langid import op9_langid
 from .linefreq import OP3_SQL, op3_line_frequency
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": op3_line_frequency,
     "op2_chat_format": op2_chat_format,
     "op8_edit_embedding": op8_edit_embedding,
+    "op8_near_texts": op8_near_texts,
     "op4_pii_crf": op4_pii_crf,
     "op5_packing": op5_packing,
     "op6_weak_labels": op6_weak_labels,

@@ -425,6 +425,29 @@ def test_neighbours_follow_in_order(spark, odd, empty):
     assert editembed.neighbour_likeness(empty).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [editembed.CHUNK, 8])
+def test_near_texts_match_brute_force(spark, odd, empty, chunk):
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    texts = [text(700) for _ in range(12)]
+    for a in texts[:8] * 4 + texts[:1] * 20:
+        at = rng.randrange(len(a))
+        texts.append(a[:at] + text(rng.randint(0, 3)) + a[at + 1 :])
+    texts += texts[:2]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = editembed.near_texts(df, chunk=chunk).collect()
+    prints = [editembed.fingerprint(t) for t in texts]
+    want = components(list(range(len(texts))), lambda a, b: editembed.likeness(prints[a], prints[b]) >= editembed.NEAR)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.component_id, set()).add(r.doc_id)
+    assert len(rows) == len(texts) and all(c == min(g) for c, g in groups.items())
+    assert {frozenset(g) for g in groups.values()} == {frozenset(i for i, w in enumerate(want) if w == c) for c in set(want)}
+    assert 1 < len(groups) < len(texts) - 20
+    assert len(editembed.near_texts(odd, chunk=chunk).collect()) == len(ODD) and editembed.near_texts(empty).count() == 0
+
+
 # --- language ID ---
 
 
