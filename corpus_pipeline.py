@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm import langid, mixing, packing, pii, simhash
+from quillmill.llm import langid, mixing, packing, pii, shingles, simhash
 from quillmill.llm.common import materialise, table
+from quillmill.llm.components import connected_components
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +25,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that of the least id.
 
+    Texts are joined if their fingerprints differ in four bits at most, or if their five-word
+    shingles have a Jaccard similarity of 0.8 or more; the latter are found in full and verified.
     Rows that repeat a doc_id are copies of one document; one of them stays.  Rows with a null
     doc_id cannot be named by the groups: of those, one for each text stays.
     """
-    found = simhash.near_duplicates(docs)
+    named = docs.select("doc_id", shingles.text_node(F.col("text")).alias("_node"), "text")
+    prints = simhash.near_duplicates(named, "_node").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    links = prints.unionByName(shingles.shingle_links(docs))
+    roots = connected_components(links)
+    own = materialise(named.select("doc_id", "_node").join(roots, F.col("_node") == F.col("node"), "left").select("doc_id", F.coalesce("root", "_node").alias("root")))
+    found = own.join(own.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
     gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     unnamed = F.when(F.col("doc_id").isNull(), F.sha2("text", 256))

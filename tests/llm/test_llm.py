@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from quillmill.llm import boosting, chatformat, editembed, htmltext, langid, linefreq, mixing, packing, pii, simhash, weaklabel
+from quillmill.llm import boosting, chatformat, editembed, htmltext, langid, linefreq, mixing, packing, pii, shingles, simhash, weaklabel
 from quillmill.llm.components import connected_components
 from quillmill.llm.registry import ORACLES, QUERIES
 
@@ -125,6 +125,36 @@ def test_components_of_long_chains_and_stars(spark):
     assert got == {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 600)}
 
 
+@pytest.mark.parametrize("chunk", [shingles.CHUNK, 8])
+def test_shingle_links_match_brute_force(spark, monkeypatch, chunk):
+    import corpus_pipeline
+
+    monkeypatch.setattr(shingles, "ORDER_LEAST", 5)
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    common = [word() for _ in range(15)]
+    texts = [[*common, *(word() for _ in range(rng.randint(0, 120)))] for _ in range(20)]
+    for w in texts[:10] * 4 + texts[:1] * 20:
+        w = list(w)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = word()
+        texts.append(w)
+    texts = [" ".join(w) for w in texts] + ["Two words", "two  WORDS", "", " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    nodes = {r.doc_id: r.node for r in df.select("doc_id", shingles.text_node(df.text).alias("node")).collect()}
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set() for w in (t.lower().split() for t in texts)]
+    near = lambda a, b: nodes[a] == nodes[b] or (len(sets[a] & sets[b]) > 0 and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    got = {(r.u, r.v) for r in shingles.shingle_links(df, chunk=chunk).collect()}
+    own = list(range(len(texts)))
+    want = components(own, near)
+    assert components(own, lambda a, b: nodes[a] == nodes[b] or (nodes[a], nodes[b]) in got or (nodes[b], nodes[a]) in got) == want
+    prints = [simhash.simhash(t) for t in texts]
+    assert any(near(a, b) and (prints[a] ^ prints[b]).bit_count() > 4 for a, b in itertools.combinations(own, 2))
+    if chunk == shingles.CHUNK:
+        want = components(own, lambda a, b: near(a, b) or (prints[a] ^ prints[b]).bit_count() <= 4)
+        assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == set(want)
+
+
 # --- chat format ---
 
 
