@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import BLANK, WORD, bounded, let, materialise, table
 
-#: A line is removed if more distinct texts of its host have it than LEAST and SHARE of all.
+#: A line is removed if more distinct texts of its host than LEAST have it, however large the host
+#: is; the SQL of the query asks for more than SHARE of the host's texts, too.
 LEAST, SHARE = 10, 0.02
 #: A document is depleted if removal leaves fewer words, or a smaller part of its words.
 LEAST_WORDS, LEAST_LEFT = 10, 0.3
@@ -82,19 +83,22 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     return found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "host", "text_hash", "w.*", "n_symbols", "l.*")
 
 
-def frequent_lines(profiles: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def frequent_lines(profiles: DataFrame, least: int = LEAST, share: float | None = None) -> DataFrame:
     """(host, h, texts): the lines of each host above its limit.
 
     Distinct (host, line, text) triples are made first, so that a line of very many documents is
-    spread over tasks and arrives as counts.
+    spread over tasks and arrives as counts.  The limit is least, and with a share that part of the
+    host's texts if it is more.
     """
     each = profiles.select("host", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     texts = each.distinct().groupBy("host", "h").agg(F.count("*").alias("texts")).where(F.col("texts") > least)
+    if share is None:
+        return texts.select("host", "h", "texts")
     hosts = profiles.select(F.col("host").alias("its_host"), "text_hash").distinct().groupBy("its_host").agg(F.count("*").alias("all"))
     return texts.join(hosts, texts["host"].eqNullSafe(hosts["its_host"])).where(F.col("texts") > F.col("all") * share).select("host", "h", "texts")
 
 
-def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, share: float = SHARE, least_words: int = LEAST_WORDS, least_left: float = LEAST_LEFT) -> DataFrame:
+def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, share: float | None = None, least_words: int = LEAST_WORDS, least_left: float = LEAST_LEFT) -> DataFrame:
     """Base counts and verdict for each row of docs.
 
     n_removed_words counts the words of lines above their host's limit; such a row is rejected if
@@ -119,7 +123,7 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, share: float = SHARE) -> DataFrame:
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, share: float | None = None) -> DataFrame:
     """docs with the lines above their host's limit cut out of the texts; null texts stay null."""
     frequent = frequent_lines(profile(docs, id_col, text_col, host_col).select("host", "text_hash", "lines"), least, share)
     own = docs.withColumn("_row", F.monotonically_increasing_id())
@@ -134,7 +138,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def op3_line_frequency(spark, sf_dir: str) -> DataFrame:
-    found = line_quality(table(spark, sf_dir, "documents"))
+    found = line_quality(table(spark, sf_dir, "documents"), share=SHARE)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 

@@ -230,6 +230,14 @@ def test_frequent_lines_go_and_copies_count_once(spark):
     assert {r.text for r in linefreq.cleaned(df).where("doc_id < 30").collect()} == {body(i) for i in range(30)}
 
 
+def test_lines_go_however_large_the_host_is(spark):
+    rows = [(i, ("Shared by few\n" if i < 16 else "") + f"a line of its own number {i} with ten words or more in it", "h") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.doc_id for r in linefreq.line_quality(df).where("n_removed_words = 3").collect()} == set(range(16))
+    assert linefreq.cleaned(df).where("text like '%Shared%'").count() == 0
+    assert linefreq.line_quality(df, share=linefreq.SHARE).where("n_removed_words > 0").count() == 0
+
+
 # --- personal data ---
 
 
