@@ -5,9 +5,10 @@ rendered; if each output begins with the output before it, what is new is the tu
 not, the template rewrites history and the turn is marked so.  The text that a model is to learn
 is found inside the span by rendering the same turns once more with a marker for the text.
 
-Rows of a conversation stream through one task in order.  A prefix holds the turns of the current
-block of BLOCK turns and of the block before it, so that memory is bounded by 2 * BLOCK turns and
-conversations of up to 2 * BLOCK turns are rendered from their first turn on.
+Rows of a conversation stream through one task in order.  Prefixes are whole, from the first turn
+on.  Only a template that declares itself append-only (template.append_only = True: what it gives
+for a turn depends on that turn alone) is shown the current block of BLOCK turns and the block
+before it, so that its memory is bounded by 2 * BLOCK turns.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ def chatml(turns: list[Turn]) -> str:
     return "".join([f"{START}{escape(r)}\n{escape(t)}{END}\n" for r, t in turns])
 
 
+chatml.append_only = True
+
+
 def parse(piece: str) -> list[Turn]:
     """The turns that chatml() rendered; a role with a line break is not told from its text."""
     turns = []
@@ -75,12 +79,13 @@ def render_turns(turns: Iterator[Turn], template: Template = chatml, learn: froz
 
     Positions are code points in the conversation's output.  Of a turn whose output does not begin
     with the output before it, rewritten is true and piece is the whole new output of the prefix;
-    positions then count from that output's start.
+    positions then count from that output's start.  block is for append-only templates alone.
     """
+    windowed = getattr(template, "append_only", False)
     held: list[Turn] = []
     shown, at = "", 0
     for no, turn in enumerate(turns):
-        if no and no % block == 0 and len(held) >= 2 * block:
+        if windowed and no and no % block == 0 and len(held) >= 2 * block:
             held = held[block:]
             shown = template(held)
         now = template([*held, turn])

@@ -185,6 +185,18 @@ def test_render_finds_spans_and_rewrites():
     assert out[2][1] == "[user]a[assistant]b[user]c"
 
 
+def test_long_conversations_are_rendered_from_their_first_turn():
+    def closing(ts):  # names the first turn and the number of turns; drops all thoughts but the last turn's
+        return "".join(f"[{i} {ts[0][1]} {r}]{re.sub('<t>.*</t>', '', t) if i < len(ts) - 70 else t}" for i, (r, t) in enumerate(ts))
+
+    turns = [("system", "rules")] + [("assistant" if i % 2 else "user", f"<t>{i}</t>x" if i == 41 else f"x{i}") for i in range(1, 200)]
+    out = list(chatformat.render_turns(iter(turns), closing))
+    for n, x in enumerate(out):
+        before, now = closing(turns[:n]) if n else "", closing(turns[: n + 1])
+        assert x[6] == (not now.startswith(before)) and x[1] == (now if x[6] else now[len(before) :])
+    assert [n for n, x in enumerate(out) if x[6]] == [111]
+
+
 def test_chat_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (None, None, None, "y"), (2, 5, "assistant", "z" * 50000)]
     df = spark.createDataFrame([(*r, "no") for r in rows], "conv_id long, turn long, role string, text string, piece string")
