@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -118,13 +118,14 @@ def features(token: str, before: str) -> list[int]:
     return [_AT[f] for f in on]
 
 
-def links(tokens: list[str], at: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+def links(tokens: list[str], at: list[int], known: Container[int] = ()) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Chain and skip links among candidates; at has their places among all tokens.
 
-    Repeats of a key are joined each to the next one, so that there are no more links than tokens.
+    Repeats of a key are joined each to the first known one, so that none is far from the evidence;
+    if none is known, each to the next one.  Either way a token has one link a key at most.
     """
     chain = [(i, i + 1) for i in range(len(at) - 1) if at[i + 1] == at[i] + 1]
-    skip, last = set(), {}
+    skip, places = set(), {}
     for i, t in enumerate(tokens):
         digits = re.sub("[^0-9]", "", t)
         own = []
@@ -133,9 +134,10 @@ def links(tokens: list[str], at: list[int]) -> tuple[list[tuple[int, int]], list
         elif len(digits) >= 7 and len(digits) <= 40:
             own += [("d", digits), ("e", digits[-7:])]
         for key in own:
-            if key in last:
-                skip.add((last[key], i))
-            last[key] = i
+            places.setdefault(key, []).append(i)
+    for same in places.values():
+        hub = next((i for i in same if i in known), None)
+        skip.update(zip(same, same[1:]) if hub is None else ((min(i, hub), max(i, hub)) for i in same if i != hub))
     return chain, sorted(skip - set(chain))
 
 
@@ -145,8 +147,12 @@ class Field:
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.unary, self.chain, self.skip = unary, chain, skip
 
-    def marginals(self, feats: list[list[int]], chain: list[tuple[int, int]], skip: list[tuple[int, int]], clamped: dict[int, int], rounds: int = 20, damp: float = 0.3) -> np.ndarray:
-        """Label probabilities of each candidate after loopy belief propagation."""
+    def marginals(self, feats: list[list[int]], chain: list[tuple[int, int]], skip: list[tuple[int, int]], clamped: dict[int, int], rounds: int = 2000, damp: float = 0.3) -> np.ndarray:
+        """Label probabilities of each candidate after loopy belief propagation.
+
+        Messages pass until they settle; rounds only ends those that never do.  No message changes
+        a clamped label, however many there are.
+        """
         labels = self.unary.shape[1]
         score = np.array([self.unary[f].sum(0) for f in feats]).reshape(-1, labels)
         for i, y in clamped.items():
@@ -159,12 +165,15 @@ class Field:
             pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
             back = np.r_[np.arange(len(edges)) + len(edges), np.arange(len(edges))]
             message = np.zeros((len(src), labels))
+            free = np.ones(len(score), bool)
+            free[list(clamped)] = False
+            keep = free[dst][:, None]  # what goes to a clamped label is not heard
             for _ in range(rounds):
                 belief = score.copy()
                 np.add.at(belief, dst, message)
                 x = (belief[src] - message[back])[:, :, None] + pair
                 new = np.logaddexp.reduce(x, axis=1)
-                new -= new.max(1, keepdims=True)
+                new = np.where(keep, new - new.max(1, keepdims=True), 0.0)
                 new = damp * message + (1 - damp) * new
                 settled = np.abs(new - message).max() < 1e-4
                 message = new
@@ -270,7 +279,6 @@ def added_spans(text: str, base: list[Span], field: Field, sure: float = 0.9) ->
     tokens = [text[slice(*places[i])] for i in at]
     if not tokens:
         return []
-    chain, skip = links(tokens, at)
     clamped: dict[int, int] = {}
     order = sorted(base, key=lambda s: s[1])
     starts = np.array([places[i][0] for i in at])
@@ -278,6 +286,7 @@ def added_spans(text: str, base: list[Span], field: Field, sure: float = 0.9) ->
     for kind, a, b in order:
         for j in range(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))):
             clamped.setdefault(j, KINDS.index(kind) + 1)
+    chain, skip = links(tokens, at, clamped)
     p = field.marginals([features(t, text[slice(*places[i - 1])] if i else "") for i, t in zip(at, tokens)], chain, skip, clamped)
     found: list[Span] = []
     run: tuple[int, int, int] | None = None  # label, first, last

@@ -282,6 +282,15 @@ def test_field_finds_repeats_in_part_and_leaves_other_numbers():
     assert pii.all_spans("In 1999 there were 12 of 1234567 items, 3.5 each.", field) == ([], [])
 
 
+def test_hundreds_of_repeats_are_found():
+    field = pii.trained()
+    full, part = "+1 9745553436", "5553436"
+    for text in (f"Call {full} today" + f" or then {part}" * 300, f"or then {part} " * 150 + f"call {full} today" + f" or then {part}" * 150):
+        base, spans = pii.all_spans(text, field)
+        assert [text[a:b] for _, a, b in base] == [full]
+        assert sorted(text[a:b] for _, a, b in spans) == [full] + [part] * 300
+
+
 def test_belief_propagation_is_exact_on_chains():
     rng = np.random.default_rng(7)
     field = pii.Field(rng.normal(size=(3, 4)), rng.normal(size=(4, 4)), np.zeros((4, 4)))
