@@ -15,16 +15,20 @@ from .common import bounded, materialise
 CHUNK = 1024
 
 
-def _block_batches(forest: Callable[[list], Iterator[tuple[int, int]]]):
-    """Links inside each block, over rows (key, block, node, content) sorted by key and block."""
+Forest = Callable[[list], Iterator[tuple[int, int]]]
+
+
+def _rows(batches: Iterator[pa.RecordBatch], plain: int) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(i).to_pylist() for i in range(plain)), batch.column(plain))
+
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3))
+def _block_batches(forest: Forest):
+    """Links inside each block, over rows (key, block, node, content) sorted by key and block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = [], []
-        for _, group in itertools.groupby(rows(batches), key=lambda r: r[:2]):
+        for _, group in itertools.groupby(_rows(batches, 3), key=lambda r: r[:2]):
             own = list(group)
             for i, j in forest([r[3].as_py() for r in own]):
                 u.append(own[i][2])
@@ -38,21 +42,67 @@ def _block_batches(forest: Callable[[list], Iterator[tuple[int, int]]]):
     return run
 
 
-def verified_links(keyed: DataFrame, contents: Callable[[DataFrame], DataFrame], forest: Callable[[list], Iterator[tuple[int, int]]], chunk: int = CHUNK) -> DataFrame:
+def _rough_batches(forest: Forest):
+    """Over rows (key, block, node, root, sketch): (key, block, node) of what sketches do not rule out.
+
+    The new block is the least node of those that sketches join.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int, int]] = []
+        for (key, _), group in itertools.groupby(_rows(batches, 4), key=lambda r: r[:2]):
+            own = list(group)
+            joined: dict[int, list[int]] = {}  # by the first of each tree
+            top = list(range(len(own)))
+            for i, j in forest([r[4].as_py() for r in own]):
+                top[j] = top[i]
+            for i, t in enumerate(top):
+                joined.setdefault(t, []).append(i)
+            for same in joined.values():
+                if len({own[i][3] for i in same}) > 1:
+                    block = min(own[i][2] for i in same)
+                    out += [(key, block, own[i][2]) for i in same]
+            if len(out) > 10_000:
+                yield _members(out)
+                out = []
+        if out:
+            yield _members(out)
+
+    return run
+
+
+def _members(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["key", "block", "node"])
+
+
+def verified_links(keyed: DataFrame, contents: Callable[[DataFrame], DataFrame], forest: Forest, chunk: int = CHUNK, sketches: DataFrame | None = None, rough: Forest | None = None) -> DataFrame:
     """Links (u, v) that join what is alike among the nodes of each key.
 
-    keyed has distinct (key long, node long) with a weight; contents gives (node, content), a row
-    for each of the nodes it is handed; forest gives the places of links among a list of contents.
-    Groups of the same nodes are looked at once.  The nodes of a group above chunk are dealt by
-    hash into parts, and every two parts are compared in a block of their own; nothing is capped.
+    keyed has distinct (key long, node long) with a weight and a root: nodes of one root are known
+    to belong together, so that a group of one root is not looked at.  contents gives
+    (node, content), a row for each of the nodes it is handed; forest gives the places of links
+    among a list of contents, each tree from its first node on.  Groups of the same nodes are
+    looked at once.  The nodes of a group above chunk are dealt by hash into parts, and every two
+    parts are compared in a block of their own; nothing is capped.  If there are sketches (node,
+    sketch), contents are fetched only for what rough, which must join all that forest joins,
+    finds among these.
     """
     h = F.xxhash64("node")
-    groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("w"), F.bit_xor(h).alias("x"), F.sum(F.shiftrightunsigned(h, 34)).alias("s")).where("n > 1")
+    groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("w"), F.bit_xor(h).alias("x"), F.sum(F.shiftrightunsigned(h, 34)).alias("s"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     once = materialise(groups.groupBy("n", "w", "x", "s").agg(F.min("key").alias("its_key")).select("its_key", F.ceil(F.col("w") / chunk).cast("int").alias("parts")))
-    members = keyed.join(bounded(once), F.col("key") == F.col("its_key")).select("key", "node", "parts", F.pmod(h, F.col("parts")).cast("int").alias("part"))
+    members = keyed.join(bounded(once), F.col("key") == F.col("its_key")).select("key", "node", "root", "parts", F.pmod(h, F.col("parts")).cast("int").alias("part"))
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda t: (t != F.col("part")) | (F.col("parts") == 1))
-    members = members.select("key", "node", "part", "parts", F.explode(others).alias("other"))
+    members = members.select("key", "node", "root", "part", "parts", F.explode(others).alias("other"))
     block = F.least("part", "other").cast("long") * F.col("parts") + F.greatest("part", "other")
-    members = materialise(members.select("key", block.alias("block"), "node"))
-    dealt = members.join(contents(members.select("node").distinct()), "node").select("key", "block", "node", "content")
-    return dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_block_batches(forest), "u long, v long").distinct()
+    members = members.select("key", block.alias("block"), "node", "root")
+    dealt = lambda m: m.repartition("key", "block").sortWithinPartitions("key", "block")
+    if sketches is not None:
+        members = dealt(members.join(sketches, "node").select("key", "block", "node", "root", "sketch")).mapInArrow(_rough_batches(rough), "key long, block long, node long")
+    members = materialise(members.select("key", "block", "node"))
+    if sketches is not None:  # what is left of different groups may be the same
+        h = F.xxhash64("node")
+        sets = members.groupBy("key", "block").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftrightunsigned(h, 34)).alias("s"))
+        only = sets.groupBy("n", "x", "s").agg(F.min(F.struct("key", "block")).alias("k")).select("k.*")
+        members = materialise(members.join(only, ["key", "block"]).select("key", "block", "node"))
+    with_content = members.join(contents(members.select("node").distinct()), "node").select("key", "block", "node", "content")
+    return dealt(with_content).mapInArrow(_block_batches(forest), "u long, v long").distinct()

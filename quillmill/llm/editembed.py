@@ -190,7 +190,7 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct = materialise(distinct.withColumn("node", F.monotonically_increasing_id()))
     edges = np.linspace(0, SAMPLES, differ + 2).round().astype(int).tolist()
     bands = [F.xxhash64(F.lit(i), F.substring("fingerprint", a + 1, b - a)) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
-    keyed = distinct.select(F.explode(F.array_distinct(F.array(*bands))).alias("key"), "node", F.lit(1).alias("weight"))
+    keyed = distinct.select(F.explode(F.array_distinct(F.array(*bands))).alias("key"), "node", F.lit(1).alias("weight"), F.col("node").alias("root"))
     contents = lambda nodes: distinct.join(nodes, "node", "left_semi").select("node", F.col("fingerprint").alias("content"))
     roots = connected_components(verified_links(keyed, contents, _forest(differ), chunk))
     rooted = materialise(distinct.join(roots, "node", "left").select("fingerprint", "least", F.coalesce("root", "node").alias("root")))

@@ -2,7 +2,9 @@
 
 Shingles are put in one order for all texts, common ones last.  Two texts of a similarity of LIKE
 or more share one of the first n - ceil(LIKE * n) + 1 of their n shingles, whatever the order, so
-that these are the keys; what shares a key is verified on all shingles of the texts.
+that these are the keys.  Keys are shuffled once; those of one text alone go at once, and so do
+those whose texts are known to belong together by other means (SimHash links).  What still shares
+a key is verified on all shingles of the texts.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .buckets import CHUNK, verified_links
@@ -22,7 +24,11 @@ WORDS = 5
 #: The least similarity, as a fraction.
 LIKE = (4, 5)
 #: Common shingles are sought among so many texts, for the order only; so many are told apart.
-ORDER_TEXTS, ORDER_LEAST, ORDER_MOST = 20_000, 20, 50_000
+ORDER_TEXTS, ORDER_LEAST, ORDER_MOST = 4_000, 6, 50_000
+#: Cells of a sketch.
+CELLS = 256
+#: The rows of a common shingle are spread over so many tasks.
+SALT = 256
 #: Bytes of text that count as one row more in a group.
 HEAVY = 4096
 
@@ -76,12 +82,55 @@ def forest(texts: list[str]) -> Iterator[tuple[int, int]]:
             rest = rest[~near]
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """How many shingles fall to each of CELLS cells, by hash, up to 255; then how many there are."""
+    return np.minimum(np.bincount(own & (CELLS - 1), minlength=CELLS), 255).astype(np.uint8).tobytes() + len(own).to_bytes(4, "little")
+
+
+def rough(sketches: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Links that join all that may be alike: no two sets share more than the lesser counts of all cells."""
+    flat = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, CELLS + 4)
+    cells, size = flat[:, :CELLS], np.ascontiguousarray(flat[:, CELLS:]).view(np.uint32)[:, 0].astype(np.int64)
+    full = (cells == 255).any(1)
+    rest = np.arange(len(flat))
+    while len(rest):
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            q = queue.pop()
+            both = np.where(full[rest] | full[q], np.minimum(size[rest], size[q]), np.minimum(cells[rest], cells[q]).sum(1, dtype=np.int64))
+            near = both * LIKE[1] >= LIKE[0] * (size[q] + size[rest] - both)
+            hit = rest[near].tolist()
+            yield from ((q, x) for x in hit)
+            queue += hit
+            rest = rest[~near]
+
+
+def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sketch(shingles(t.as_py())) for t in batch.column(1)], pa.binary())], names=["node", "sketch"])
+
+
+KEYED = "key long, salt int, node long, weight int"
+
+
 def _key_batches(common: np.ndarray, whole: bool = False):
+    """The keys of each text; those that are common have a salt above 0."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(1)]
-            keys = found if whole else [prefix(x, common) for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["node", "keys"])
+            nodes = batch.column(0).to_numpy(zero_copy_only=False)
+            for lo in range(0, batch.num_rows, 256):
+                texts = batch.column(1).slice(lo, 256).to_pylist()
+                found = [shingles(t) if whole else prefix(shingles(t), common) for t in texts]
+                size = [len(x) for x in found]
+                keys = np.concatenate(found)
+                node = np.repeat(nodes[lo : lo + 256], size)
+                weight = np.repeat([1 + len(t) // HEAVY for t in texts], size)
+                salt = np.zeros(len(keys), np.int64)
+                if len(common) and len(keys):
+                    late = common[np.minimum(np.searchsorted(common, keys), len(common) - 1)] == keys
+                    salt = np.where(late, 1 + node % SALT, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(salt, pa.int32()), pa.array(node), pa.array(weight, pa.int32())], names=["key", "salt", "node", "weight"])
 
     return run
 
@@ -91,19 +140,28 @@ def text_node(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def shingle_links(docs: DataFrame, text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def shingle_links(docs: DataFrame, text_col: str = "text", known: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
     """Links (u, v) of text_node() that join all texts of a similarity of LIKE or more.
 
-    Texts without a word have no shingle and no link.
+    known has (node, root) of nodes that belong together already: with those as links, too, all
+    such texts are joined.  Null texts are empty; texts without a word have no shingle and no
+    link; equal texts are one node; other columns are not looked at.
     """
     own = docs.select(text_node(F.col(text_col)).alias("node"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     step = max(docs.count() // ORDER_TEXTS, 1)
-    sample = own.where(F.pmod(F.col("node"), F.lit(step)) == 0).mapInArrow(_key_batches(np.zeros(0, np.int64), True), "node long, keys array<long>")
-    seen = sample.dropDuplicates(["node"]).select(F.explode("keys").alias("key")).groupBy("key").count().where(F.col("count") >= ORDER_LEAST)
+    sample = own.where(F.pmod(F.col("node"), F.lit(step)) == 0).mapInArrow(_key_batches(np.zeros(0, np.int64), True), KEYED)
+    seen = sample.groupBy("key").count().where(F.col("count") >= ORDER_LEAST)
     common = np.sort(np.array([r.key for r in seen.orderBy(F.desc("count"), "key").limit(ORDER_MOST).collect()], np.int64))
-    keys = own.mapInArrow(_key_batches(common), "node long, keys array<long>")
-    weights = own.select("node", (F.lit(1) + F.floor(F.length("text") / HEAVY)).alias("weight")).dropDuplicates(["node"])
-    keys = materialise(keys.dropDuplicates(["node"]).join(weights, "node"))
-    keyed = keys.select(F.explode("keys").alias("key"), "node", "weight")
+    run = Window.partitionBy("key", "salt")
+    rows = own.mapInArrow(_key_batches(common), KEYED).withColumn("before", F.lag("node").over(run.orderBy("node"))).withColumn("last", F.max("node").over(run))
+    # the first row of each node, where the key has another; common ones are left to the groups
+    shared = rows.where("(before is null or before <> node) and (before is not null or last <> node or salt > 0)").select("key", "node", "weight")
+    if known is not None:
+        at = known.select(F.col("node").alias("its_node"), "root")
+        shared = shared.join(at, F.col("node") == F.col("its_node"), "left").select("key", "node", "weight", F.coalesce("root", "node").alias("root"))
+    else:
+        shared = shared.withColumn("root", F.col("node"))
+    keyed = materialise(shared)
     contents = lambda nodes: own.join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", F.col("text").alias("content"))
-    return verified_links(keyed, contents, forest, chunk)
+    sketches = own.mapInArrow(_sketch_batches, "node long, sketch binary").groupBy("node").agg(F.min("sketch").alias("sketch"))
+    return verified_links(keyed, contents, forest, chunk, sketches, rough)

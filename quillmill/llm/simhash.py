@@ -22,12 +22,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import bounded, materialise, table
 from .components import connected_components
 
 BITS, BLOCKS, SEGMENT = 64, 5, 23
 MAX_BITS = 4
-#: Runs of one key up to this length are compared at once; longer ones by pairs of chunks.
+#: Fingerprints of one key that are compared at once; those of a key with more are dealt into parts.
 CHUNK = 16384
 SHORT = 48
 
@@ -166,96 +166,55 @@ def _runs(k: np.ndarray, f: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (empty, empty)
 
 
-SCAN = "u long, v long, key long, chunk int, fps array<long>"
+def _scan_batches(bits: int):
+    """Links inside each run, over rows (key, block, fp) sorted by key and block."""
 
-
-def _scan_batches(bits: int, most: int):
-    """Over rows sorted by key: links inside each run, and the chunks of runs above `most` rows."""
-    kind = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("key", pa.int64()), ("chunk", pa.int32()), ("fps", pa.list_(pa.int64()))])
-
-    def links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    def links(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+        a, b = _runs(k, f, bits)
         lo, hi = np.minimum(a, b).view(np.int64), np.maximum(a, b).view(np.int64)
         pair = np.unique(np.stack([lo, hi]), axis=1) if len(lo) else np.zeros((2, 0), np.int64)
-        n = pair.shape[1]
-        return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, kind.field("fps").type)], schema=kind)
-
-    def chunk_row(key: int, no: int, f: np.ndarray) -> pa.RecordBatch:
-        none = pa.nulls(1, pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, pa.array([key], pa.int64()), pa.array([no], pa.int32()), pa.array([f.view(np.int64)], kind.field("fps").type)], schema=kind)
+        return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ks, fs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        held, long_key, no = 0, None, 0
+        ks, fs, held = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+        last, at = None, 0
         for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                ks.append(batch.column(0).to_numpy(zero_copy_only=False))
-                fs.append(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
+            if batch is not None and batch.num_rows:
+                key, block = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+                new = np.r_[(key[0], block[0]) != last, (key[1:] != key[:-1]) | (block[1:] != block[:-1])]
+                ks.append(at + np.cumsum(new))  # runs are numbered as they come
+                at, last = int(ks[-1][-1]), (key[-1], block[-1])
+                fs.append(batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
                 held += batch.num_rows
-                if held < 65536:
-                    continue
+            if batch is not None and held < 65536:
+                continue
             k, f = np.concatenate(ks), np.concatenate(fs)
             cut = len(k) if batch is None else int(np.searchsorted(k, k[-1]))
-            if long_key is not None:  # goes on from the batch before
-                end = int(np.searchsorted(k, long_key, side="right"))
-                while end >= most or end and (end < len(k) or batch is None):
-                    part = f[: min(end, most)]
-                    yield chunk_row(long_key, no, part)
-                    yield links(*_forest(part, bits))
-                    no += 1
-                    k, f, end = k[len(part) :], f[len(part) :], end - len(part)
-                if len(k) and k[0] != long_key:
-                    long_key = None
-                cut = len(k) if batch is None else int(np.searchsorted(k, k[-1])) if len(k) else 0
             if cut:
-                out_a, out_b = [], []
-                starts = np.flatnonzero(np.r_[True, k[1:cut] != k[: cut - 1]])
-                size = np.diff(np.r_[starts, cut])
-                for s, n in zip(starts[size > most].tolist(), size[size > most].tolist()):
-                    for j, i in enumerate(range(s, s + n, most)):
-                        part = f[i : min(i + most, s + n)]
-                        yield chunk_row(int(k[s]), j, part)
-                        a, b = _forest(part, bits)
-                        out_a.append(a)
-                        out_b.append(b)
-                keep = np.repeat(size <= most, size)
-                a, b = _runs(k[:cut][keep], f[:cut][keep], bits) if keep.any() else (f[:0], f[:0])
-                yield links(np.concatenate([*out_a, a]), np.concatenate([*out_b, b]))
-            k, f = k[cut:], f[cut:]
-            if len(k) > most and long_key is None:
-                long_key, no = int(k[-1]), 0
-                while len(k) >= most:
-                    yield chunk_row(long_key, no, f[:most])
-                    yield links(*_forest(f[:most], bits))
-                    no += 1
-                    k, f = k[most:], f[most:]
-            ks, fs, held = [k], [f], len(k)
-
-    return run
-
-
-def _cross_batches(bits: int):
-    """Links between two chunks of one key, each already joined inside."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1)):
-                both = np.concatenate([x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)]).view(np.uint64)
-                a, b = _forest(both, bits)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["u", "v"])
+                yield links(k[:cut], f[:cut])
+            ks, fs, held = [k[cut:]], [f[cut:]], len(k) - cut
 
     return run
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame:
-    """Links (u, v) that join what lies within max_bits among distinct fingerprints (fp long)."""
+    """Links (u, v) that join what lies within max_bits among distinct fingerprints (fp long).
+
+    Keys are counted first.  The fingerprints of a key above `chunk` are dealt by hash into parts,
+    and every two parts are compared in a block of their own, so that no task gets a whole hot key
+    and a block has some 2 * chunk fingerprints.
+    """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("the keys hold for up to four bits")
-    keyed = fps.select("fp").mapInArrow(_key_batches, "key long, fp long").repartition("key").sortWithinPartitions("key")
-    found = materialise(keyed.mapInArrow(_scan_batches(max_bits, chunk), SCAN))
-    long = found.where("fps is not null").select("key", "chunk", "fps")
-    pairs = long.alias("x").join(long.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.chunk") < F.col("y.chunk"))).select(F.col("x.fps").alias("x"), F.col("y.fps").alias("y"))
-    across = pairs.mapInArrow(_cross_batches(max_bits), "u long, v long")
-    return found.where("u is not null").select("u", "v").unionByName(across)
+    keyed = fps.select("fp").mapInArrow(_key_batches, "key long, fp long")
+    counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > chunk)
+    hot = materialise(counts.select(F.col("key").alias("its_key"), F.ceil(F.col("n") / chunk).cast("int").alias("parts")))
+    dealt = keyed.join(bounded(hot), F.col("key") == F.col("its_key"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda t: (t != F.col("part")) | (F.col("parts") == 1))
+    block = F.least("part", "other") * F.col("parts").cast("long") + F.greatest("part", "other")
+    dealt = dealt.withColumn("other", F.explode(others)).select("key", block.alias("block"), "fp")
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_scan_batches(max_bits), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame:
