@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm import langid, mixing, packing, pii, shingles, simhash
-from quillmill.llm.common import materialise, table
+from quillmill.llm.common import bounded, materialise, table
 from quillmill.llm.components import connected_components
 
 
@@ -23,23 +23,34 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that of the least id.
+    """One document of each group: that of the least id, of those the one of the least text hash.
 
-    Texts are joined if their fingerprints differ in four bits at most, or if their five-word
-    shingles have a Jaccard similarity of 0.8 or more; the latter are found in full and verified.
-    Rows that repeat a doc_id are copies of one document; one of them stays.  Rows with a null
-    doc_id cannot be named by the groups: of those, one for each text stays.
+    Texts are joined if the fingerprints of their five-word shingles differ in four bits at most,
+    as Golay codeword keys find them, or if the shingles have a Jaccard similarity of 0.8 or more;
+    the latter are found in full and verified.  Null texts are empty, and empty texts are one
+    group.  Different texts of one doc_id are different documents; of rows that repeat both, one
+    stays, chosen by a hash of all columns.  A null doc_id stays only where a group has no other.
     """
-    named = docs.select("doc_id", shingles.text_node(F.col("text")).alias("_node"), "text")
-    prints = simhash.near_duplicates(named, "_node").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
-    links = prints.unionByName(shingles.shingle_links(docs))
-    roots = connected_components(links)
-    own = materialise(named.select("doc_id", "_node").join(roots, F.col("_node") == F.col("node"), "left").select("doc_id", F.coalesce("root", "_node").alias("root")))
-    found = own.join(own.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    unnamed = F.when(F.col("doc_id").isNull(), F.sha2("text", 256))
-    return kept.withColumn("_unnamed", unnamed).dropDuplicates(["doc_id", "_unnamed"]).select(*docs.columns)
+    node = shingles.text_node(F.col("text"))
+    named = docs.select("doc_id", node.alias("_node"), "text")
+    prints = simhash.near_duplicates(named, "_node", shingle=shingles.WORDS).select(F.col("doc_id").alias("node"), F.col("component_id").alias("root"))
+    known = materialise(prints.distinct())
+    links = known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(shingles.shingle_links(docs, known=known))
+    roots = connected_components(links).withColumnRenamed("node", "_node")
+    ids = named.groupBy("doc_id", "_node").agg(F.count("*").alias("n"))
+    own = materialise(ids.join(roots, "_node", "left").select("doc_id", "_node", "n", F.coalesce("root", "_node").alias("root")))
+    first = own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_node")).alias("first"))
+    told = own.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("_node").alias("_its"), "n", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_node") == F.col("first._node"))).alias("stays"))
+    told = materialise(told.where("not stays or n > 1"))
+    same = (F.col("_node") == F.col("_its")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = docs.withColumn("_node", node)
+    kept = rows.join(bounded(told.select("_id", "_its")), same, "left_anti").select(*docs.columns)
+    twice = told.where("stays")
+    if twice.isEmpty():
+        return kept
+    again = rows.join(bounded(twice.select("_id", "_its")), same, "left_semi")
+    one = again.groupBy("doc_id", "_node").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("one")).select("one.*")
+    return kept.unionByName(one)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
