@@ -24,13 +24,18 @@ from .common import table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
-HIDDEN = frozenset("head script style noscript template svg iframe select button textarea object audio video canvas form math dialog".split())
+HIDDEN = frozenset("head script style noscript template svg iframe select button textarea object audio video canvas form annotation annotation-xml dialog".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 #: What an opening tag ends if it is still open.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
+#: What may stand in the head; all else ends it.
+HEADLINES = frozenset("head title base link meta style script noscript template".split())
+#: What only the tags of a table or page close past.
+BARS = frozenset("td th table body".split())
+PAST_BARS = frozenset("table tr tbody thead body html".split())
 #: Where the search for what to end stops.
 WALLS = frozenset("ul ol dl table tbody thead body html article section div main aside".split())
 TAGS = "html body div section article main header footer nav aside p h ul li table form figure blockquote pre other".split()
@@ -84,14 +89,37 @@ class Page:
 
     def _parse(self, s: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]  # tag, and the block that it is in or is
-        links, at, end, add = 0, 0, len(s), self.events.append
+        places: dict[str, list[int]] = {"html": [0]}  # where in the stack each tag is open
+        blocks, walls, bars = [0], [0], []  # where blocks, WALLS and BARS are
+        at, end, add = 0, len(s), self.events.append
         lower = None
+
+        def last(tag: str) -> int:
+            own = places.get(tag)
+            return own[-1] if own else -1
+
+        def cut(i: int) -> bool:
+            """Close all from place i on; whether a block was among it."""
+            broke = False
+            while len(stack) > i:
+                tag = stack.pop()[0]
+                places[tag].pop()
+                for own in (blocks, walls, bars):
+                    if own and own[-1] == len(stack):
+                        own.pop()
+                        broke |= own is blocks
+            return broke
+
         while at < end:
             lt = s.find("<", at)
             if lt < 0:
                 lt = end
+            linked = last("a") > 0
             if lt > at:
-                add((stack[-1][1], s[at:lt], links > 0))
+                text = s[at:lt]
+                if stack[-1][0] == "head" and text.strip():
+                    cut(len(stack) - 1)
+                add((stack[-1][1], text, linked))
             if lt == end:
                 break
             nxt = s[lt + 1 : lt + 2]
@@ -105,7 +133,7 @@ class Page:
                 continue
             closing = nxt == "/"
             if not s[lt + 1 + closing : lt + 2 + closing].isalpha():
-                add((stack[-1][1], "<", links > 0)) if not closing else None
+                add((stack[-1][1], "<", linked)) if not closing else None
                 if closing:
                     at = s.find(">", lt)
                     at = end if at < 0 else at + 1
@@ -118,37 +146,21 @@ class Page:
             head, attrs = (*inside.split(None, 1), "")[:2]
             tag = head.rstrip("/").lower()
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        broke = any(x[0] in BLOCK for x in stack[i:])
-                        links -= sum(x[0] == "a" for x in stack[i:])
-                        del stack[i:]
-                        if broke:
-                            add((stack[-1][1], None, False))
-                        break
-                    if stack[i][0] in ("td", "th", "table", "body") and tag not in ("table", "tr", "tbody", "thead", "body", "html"):
-                        break
+                i = last(tag)
+                if i > 0 and (tag in PAST_BARS or not bars or i >= bars[-1]) and cut(i):
+                    add((stack[-1][1], None, False))
                 continue
+            if stack[-1][0] == "head" and tag not in HEADLINES:
+                cut(len(stack) - 1)
             if tag in VOID:
                 add((stack[-1][1], None if tag == "hr" else " ", False))
                 continue
             if tag in BLOCK:
                 add((stack[-1][1], None, False))
-                for i in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
-                    if stack[i][0] == "p":
-                        links -= sum(x[0] == "a" for x in stack[i:])
-                        del stack[i:]
-                        break
-                    if stack[i][0] in BLOCK:
-                        break
-            if tag in ENDS:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in ENDS[tag]:
-                        links -= sum(x[0] == "a" for x in stack[i:])
-                        del stack[i:]
-                        break
-                    if stack[i][0] in WALLS:
-                        break
+                if stack[blocks[-1]][0] == "p":  # a paragraph ends where a block begins
+                    cut(blocks[-1])
+            if tag in ENDS and (i := max(map(last, ENDS[tag]))) > walls[-1]:
+                cut(i)
             block = tag in BLOCK or tag in HIDDEN
             node = self._open(tag, attrs, stack[-1][1]) if block else stack[-1][1]
             if tag in RAW:
@@ -160,8 +172,11 @@ class Page:
                 continue
             if inside.endswith("/") and tag in ("svg", "path"):
                 continue
+            for own, names in ((blocks, BLOCK), (walls, WALLS), (bars, BARS)):
+                if tag in names:
+                    own.append(len(stack))
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, node))
-            links += tag == "a"
 
     @staticmethod
     def _tag_end(s: str, at: int) -> int:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -24,6 +24,8 @@ from .common import table
 ORDER = 5
 #: The sample: so many texts a language at most, none longer than so many characters.
 SAMPLE_TEXTS, SAMPLE_CHARS = 400, 20_000
+#: Texts that a language without a short one is learned from.
+LONG_TEXTS = 20
 #: Words whose scores a worker remembers; the memory is emptied when full.
 REMEMBER = 200_000
 UNKNOWN = "und"
@@ -252,23 +254,24 @@ def has_letter(text: str | None) -> bool:
 
 
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> Identifier:
-    """Models from up to `texts` texts a language of at most `chars` characters, by hash of the id.
+    """Models from up to `texts` texts a language of at most `chars` characters, by hash of id and text.
 
-    The sample does not depend on order or partitions.  Rows with null text or language give
-    nothing.
+    A language that has longer texts alone is learned from LONG_TEXTS of these.  The sample does not
+    depend on order or partitions, and is cut down before it is collected.  Rows with null text or
+    language give nothing.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= chars))
-    h = F.abs(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(9))) % 1_000_000
-    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), h.alias("h"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    h = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(text_col), F.lit(9)), F.lit(1_000_000))
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), h.alias("h"), (F.length(text_col) <= chars).alias("short"))
+    sizes = {(r["lang"], r["short"]): (r["n"], r["least"]) for r in known.groupBy("lang", "short").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()}
+    wanted = {k: (texts if k[1] else LONG_TEXTS, *x) for k, x in sizes.items() if k[1] or (k[0], True) not in sizes}
+    if not wanted:
         return Identifier([], [])
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1_000_000, int(1_200_000 * texts / n) + 1))])
-    rows = known.where(F.col("h") < share[F.col("lang")]).collect()
-    by: dict[str, list] = {}
-    for r in rows:
-        by.setdefault(r["lang"], []).append((r["lang"], r["text"], r["h"]))
-    return Identifier.learn([x for v in by.values() for x in sorted(v, key=lambda r: (r[2], r[1]))[:texts]])
+    share = F.create_map(*[F.lit(x) for (lang, short), (most, n, least) in wanted.items() for x in (f"{int(short)} {lang}", max(least, min(1_000_000, int(1_200_000 * most / n))) + 1)])
+    drawn = known.where(F.col("h") < share[F.concat(F.col("short").cast("int").cast("string"), F.lit(" "), F.col("lang"))])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    rows = drawn.withColumn("place", place).where(F.col("place") <= F.when(F.col("short"), texts).otherwise(LONG_TEXTS)).collect()
+    return Identifier.learn(sorted((r["lang"], r["text"], r["h"]) for r in rows))
 
 
 PREDICTED = "lang_pred string, score double, entropy double, rejected boolean"
@@ -298,7 +301,11 @@ def identify(docs: DataFrame, model: Identifier, id_col: str = "doc_id", text_co
 
 
 def accepted(docs: DataFrame, model: Identifier, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, whose text is not rejected."""
+    """The rows of docs, all columns, whose text is not rejected.
+
+    Null texts and texts without a letter are rejected; equal texts, repeated rows among them, are
+    treated alike; if no language was learned, nothing is accepted.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,9 @@
 """Quality rules: lines that many documents of a host share.
 
 Lines are normalised (lower case, words joined by single spaces) and hashed.  For each host and
-line the distinct texts that have the line are counted, so that exact copies of one document
-count once.  A line above the host's limit is removed; a document that loses most of its words
-so, or keeps too few, is rejected.  All of it is expressions and joins; a text is read once.
+line the distinct documents that have the line are counted.  A line above the limit is removed; a
+document that loses most of its words so, or keeps too few, is rejected.  All of it is expressions
+and joins; a text is read once.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import BLANK, WORD, bounded, let, materialise, table
 
-#: A line is removed if more distinct texts of its host than LEAST have it, however large the host
-#: is; the SQL of the query asks for more than SHARE of the host's texts, too.
-LEAST, SHARE = 10, 0.02
+#: A line is removed if more distinct documents of its host than LEAST have it, however large the
+#: host is.
+LEAST = 10
 #: A document is depleted if removal leaves fewer words, or a smaller part of its words.
 LEAST_WORDS, LEAST_LEFT = 10, 0.3
 WINDOW = 5
@@ -83,31 +83,28 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     return found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "host", "text_hash", "w.*", "n_symbols", "l.*")
 
 
-def frequent_lines(profiles: DataFrame, least: int = LEAST, share: float | None = None) -> DataFrame:
-    """(host, h, texts): the lines of each host above its limit.
+def frequent_lines(profiles: DataFrame, least: int = LEAST, copies_once: bool = False) -> DataFrame:
+    """(host, h, found): the lines of each host that more than least documents have.
 
-    Distinct (host, line, text) triples are made first, so that a line of very many documents is
-    spread over tasks and arrives as counts.  The limit is least, and with a share that part of the
-    host's texts if it is more.
+    A document is a doc_id; each row without one is a document of its own.  With copies_once the
+    distinct texts are counted instead.  Distinct (host, line, document) triples are made first, so
+    that a line of very many documents is spread over tasks and arrives as counts.
     """
-    each = profiles.select("host", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    texts = each.distinct().groupBy("host", "h").agg(F.count("*").alias("texts")).where(F.col("texts") > least)
-    if share is None:
-        return texts.select("host", "h", "texts")
-    hosts = profiles.select(F.col("host").alias("its_host"), "text_hash").distinct().groupBy("its_host").agg(F.count("*").alias("all"))
-    return texts.join(hosts, texts["host"].eqNullSafe(hosts["its_host"])).where(F.col("texts") > F.col("all") * share).select("host", "h", "texts")
+    document = F.col("text_hash") if copies_once else F.when(F.col("doc_id").isNull(), F.xxhash64("row", F.lit(1))).otherwise(F.xxhash64(F.col("doc_id").cast("string")))
+    each = profiles.select("host", document.alias("document"), F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    return each.distinct().groupBy("host", "h").agg(F.count("*").alias("found")).where(F.col("found") > least)
 
 
-def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, share: float | None = None, least_words: int = LEAST_WORDS, least_left: float = LEAST_LEFT) -> DataFrame:
+def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, copies_once: bool = False, least_words: int = LEAST_WORDS, least_left: float = LEAST_LEFT) -> DataFrame:
     """Base counts and verdict for each row of docs.
 
     n_removed_words counts the words of lines above their host's limit; such a row is rejected if
     fewer than least_words or least_left of its words are left.  base_failed: fewer than ten
     words, or more than a fifth of them in repeated windows.  Null texts have no word and fail;
-    a null host is a host of its own; repeated rows count once as text and come back each.
+    a null host is a host of its own; repeated rows are one document and come back each.
     """
     profiles = materialise(profile(docs, id_col, text_col, host_col))
-    frequent = bounded(materialise(frequent_lines(profiles, least, share).select(F.col("host").alias("its_host"), F.col("h").alias("its_h"))))
+    frequent = bounded(materialise(frequent_lines(profiles, least, copies_once).select(F.col("host").alias("its_host"), F.col("h").alias("its_h"))))
     lines = profiles.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.*")
     gone = lines.join(frequent, (F.col("h") == F.col("its_h")) & F.col("host").eqNullSafe(F.col("its_host"))).groupBy("row").agg(F.sum("n").alias("gone"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -123,10 +120,10 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, share: float | None = None) -> DataFrame:
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least: int = LEAST, copies_once: bool = False) -> DataFrame:
     """docs with the lines above their host's limit cut out of the texts; null texts stay null."""
-    frequent = frequent_lines(profile(docs, id_col, text_col, host_col).select("host", "text_hash", "lines"), least, share)
-    own = docs.withColumn("_row", F.monotonically_increasing_id())
+    own = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
+    frequent = frequent_lines(profile(own, id_col, text_col, host_col), least, copies_once)
     each = own.select("_row", F.col(host_col).cast("string").alias("host"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("at", "line"))
     each = each.withColumn("h", _line(F.col("line"))["h"])
     f = frequent.select(F.col("host").alias("its_host"), F.col("h").alias("its_h"))
@@ -138,7 +135,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def op3_line_frequency(spark, sf_dir: str) -> DataFrame:
-    found = line_quality(table(spark, sf_dir, "documents"), share=SHARE)
+    found = line_quality(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 
@@ -154,16 +151,13 @@ with d as (
 ), rep as (
   select doc_id, count(distinct i + o)::bigint as n from twice, range(5) t(o) group by doc_id
 ), l as (
-  select doc_id, source, text, line, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') as lw
+  select doc_id, source, line, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') as lw
   from (select doc_id, source, text, unnest(string_split(text, chr(10))) as line from d)
   where regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dup as (
   select doc_id, (count(*) - count(distinct line))::bigint as n from l group by doc_id
-), hosts as (
-  select source, count(distinct text) as n_all from d group by source
 ), freq as (
-  select source, lw from l join hosts using (source) group by source, lw, n_all
-  having count(distinct text) > 10 and count(distinct text) > n_all * 0.02::double
+  select source, lw from l group by source, lw having count(distinct doc_id) > 10
 ), gone as (
   select doc_id, sum(len(lw))::bigint as n from l join freq using (source, lw) group by doc_id
 ), m as (

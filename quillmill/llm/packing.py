@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from .common import materialise, n_words, table
 
 BUCKETS, BUDGET = 8, 65_536
-#: Lengths up to FINE are bins of their own; above, bins are 1 / FINE of their power of two wide,
-#: so that the histogram has FINE * 64 bins at most, whatever the input.
-FINE = 256
+#: Lengths up to FINE, the budget, are bins of their own, so that bounds are optimal there; documents
+#: above it are batches of their own, and their bins are 1 / FINE of their power of two wide.
+FINE = 65_536
 #: Numbers inside a bucket are given in so many parts by hash, which are then laid end to end.
 PARTS = 1024
 

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import table
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
-NEVER = 1e-60
 SPACE = 1 << 18
+#: So many bad votes of one labeller make a kind of texts bad.
+CLEAR = 2 / 3
 #: The sample that trains the scorer: so many texts at most, none longer than so many characters.
 SAMPLE_TEXTS, SAMPLE_CHARS = 6_000, 20_000
 
@@ -43,6 +44,7 @@ class Stats:
     shouts: float
     dup_lines: float
     short: float
+    marked: float
     lines: int
 
 
@@ -59,6 +61,7 @@ def stats(raw: bytes, found: list[bytes]) -> Stats:
         raw.count(b"!") / n,
         1 - len(set(lines)) / max(len(lines), 1),
         sum(len(w) < 5 for w in found) / n,
+        sum(w.translate(None, _SYMBOLS) != w for w in found) / n,
         len(lines),
     )
 
@@ -77,6 +80,7 @@ LABELLERS: dict[str, Labeller] = {
     "echoes": lambda s: _between(s.echoes, 0.03, 0.25, s.words >= 10),
     "shouts": lambda s: _between(s.shouts, 0.1, 0.5, s.words >= 5),
     "lines": lambda s: _between(s.dup_lines, 0.05, 0.4, s.lines >= 3),
+    "marked_words": lambda s: _between(s.marked, 0.05, 0.3, s.words >= 3),
     "short_words": lambda s: _between(abs(s.short - 0.5), 0.35, 0.49, s.words >= 20),
 }
 
@@ -90,70 +94,90 @@ def votes(text: str | None, labellers: dict[str, Labeller] = LABELLERS) -> str:
 
 @dataclass
 class LabelModel:
-    """weights: of the good texts and of each kind of bad ones; rates[labeller, kind, vote].
+    """weights of the kinds of texts, rates[labeller, kind, vote], and which kinds are good.
 
-    Kind 0 is good.  Junk comes in kinds that different labellers see, so that one class of bad
-    texts, in which labellers are independent, would fit none of them: kind j + 1 are the texts
-    that labeller j votes bad, with whatever the others vote on those.
+    Inside a kind labellers are independent.
     """
 
     weights: np.ndarray
     rates: np.ndarray
+    good: np.ndarray
+
+    def share(self) -> float:
+        """How many of the texts are good."""
+        return float(self.weights[self.good].sum())
 
     def posterior(self, pattern: str) -> float:
         """The probability that a text of this vote pattern is good."""
         v = [int(c) for c in pattern]
         z = np.log(self.weights) + np.log(self.rates[np.arange(len(v)), :, v]).sum(0)
         p = np.exp(z - z.max())
-        return float(p[0] / p.sum())
+        return float(p[self.good].sum() / p.sum())
 
     def accuracy(self) -> np.ndarray:
         """For each labeller the probability that a vote is right, given that it votes."""
-        right = self.rates[:, :1, GOOD] @ self.weights[:1] + self.rates[:, 1:, BAD] @ self.weights[1:]
+        right = np.where(self.good, self.rates[:, :, GOOD], self.rates[:, :, BAD]) @ self.weights
         return right / np.maximum(self.rates[:, :, 1:].sum(2) @ self.weights, 1e-12)
 
 
-#: What labellers are held to: how often they vote bad on good texts at most, and how often on
-#: their own kind of bad texts at least (1: a text without any bad vote is good).
-FALSE_BAD, OWN_BAD = 0.01, 1.0
-
+def expectation_maximisation(v: np.ndarray, n: np.ndarray, q: np.ndarray, rounds: int, smooth: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(weights, rates, kinds of the rows, log likelihood) from vote rows v that occur n times, begun at kinds q.
 
-def fit_labels(counts: dict[str, int], rounds: int = 300, smooth: float = 0.5) -> LabelModel:
-    """Expectation-maximisation over vote patterns; labellers are independent given the kind."""
-    patterns = sorted(counts)
-    v = np.array([[int(c) for c in p] for p in patterns], np.int64)
-    n = np.array([counts[p] for p in patterns], np.float64)
-    m = v.shape[1]
-    hot = np.stack([v == k for k in range(3)], 2).astype(float)
-    bad = (v == BAD).astype(float)
-    q = np.concatenate([np.where(bad.any(1), 0.05, 0.98)[:, None], bad + 0.02 / m], 1)
-    q /= q.sum(1, keepdims=True)
-    own = np.arange(m)
+    Nothing is held to a value; `smooth` is a count added to each weight and rate.
+    """
+    m, k = v.shape[1], q.shape[1]
+    hot = np.stack([v == x for x in range(3)], 2).astype(float)
+    own, before = np.arange(m), -np.inf
     for _ in range(rounds):
         mass = q * n[:, None]
-        weights = (mass.sum(0) + smooth) / (n.sum() + smooth * (m + 1))
+        weights = (mass.sum(0) + smooth) / (n.sum() + smooth * k)
         rates = np.einsum("pk,pjv->jkv", mass, hot) + smooth
         rates /= rates.sum(2, keepdims=True)
-        _hold(rates[:, 0], np.minimum(rates[:, 0, BAD], FALSE_BAD))
-        held = rates[own, own + 1]
-        _hold(held, np.maximum(held[:, BAD], OWN_BAD))
-        rates[own, own + 1] = held
         z = np.log(weights) + np.log(rates[own[None], :, v]).sum(1)
-        new = np.exp(z - z.max(1, keepdims=True))
-        new /= new.sum(1, keepdims=True)
-        done = np.abs(new - q).max() < 1e-7
-        q = new
-        if done:
+        top = z.max(1, keepdims=True)
+        q = np.exp(z - top)
+        found = float(n @ (top[:, 0] + np.log(q.sum(1))))
+        q /= q.sum(1, keepdims=True)
+        if abs(found - before) < 1e-9 * abs(found):
             break
-    return LabelModel(weights, rates)
+        before = found
+    return weights, rates, q, found
+
 
+def fit_labels(counts: dict[str, int], rounds: int = 2000, smooth: float = 0.5) -> LabelModel:
+    """The label model of best fit to vote patterns, by expectation-maximisation.
 
-def _hold(rates: np.ndarray, bad: np.ndarray) -> None:
-    """Set the rates of bad votes; the other votes keep their proportions."""
-    rest = np.maximum(1 - rates[:, BAD], 1e-9)
-    for k in (ABSTAIN, GOOD):
-        rates[:, k] = np.maximum(rates[:, k] / rest * (1 - bad), NEVER)
-    rates[:, BAD] = np.maximum(bad, NEVER)
+    Junk comes in kinds that few labellers see each, so that models of two to labellers + 1 kinds
+    are fitted: two begun at the majority of votes; most begun at kind j + 1 for the texts that
+    labeller j votes bad, and then without the least kind, again and again.  The lesser Bayesian
+    information criterion decides.  Shares and rates are all estimated.  What votes cannot tell is
+    said: a kind is bad if a labeller votes bad on half of its texts and on CLEAR or more of those that
+    it votes on there, or if bad votes are more than good ones.
+    """
+    patterns = sorted(counts)
+    v = np.array([[int(c) for c in p] for p in patterns], np.int64)
+    n = np.array([counts[p] for p in patterns], np.float64)
+    m = v.shape[1]
+    bad = (v == BAD).astype(float)
+    outcomes = sum(len(np.unique(v[:, j])) - 1 for j in range(m))
+    fits = []
+
+    def fit(q: np.ndarray) -> np.ndarray:
+        weights, rates, q, found = expectation_maximisation(v, n, q / q.sum(1, keepdims=True), rounds, smooth)
+        free = q.shape[1] * (1 + outcomes) - 1
+        fits.append((free * np.log(n.sum()) - 2 * found, weights, rates))
+        return q
+
+    two = 1 / (1 + np.exp(bad.sum(1) - (v == GOOD).sum(1)))
+    fit(np.stack([two, 1 - two], 1))
+    q = np.concatenate([np.where(bad.any(1), 0.05, 0.98)[:, None], bad + 0.02 / m], 1)
+    while q.shape[1] > 1:
+        q = fit(q)
+        q = np.delete(q, (q * n[:, None]).sum(0).argmin(), 1) + 1e-6
+    _, weights, rates = min(fits, key=lambda x: x[0])
+    ill, well = rates[:, :, BAD], rates[:, :, GOOD]
+    clear = ((ill >= 0.5) & (ill >= CLEAR * (ill + well))).any(0)
+    return LabelModel(weights, rates, ~clear & (ill.sum(0) <= well.sum(0)))
 
 
 def hashed(text: str | None, space: int = SPACE) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +225,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts
     """The label model, from the votes on all texts, and the scorer, from a bounded sample.
 
     Half of the sample are texts that are more likely good, half more likely bad, each chosen by
-    hash of id; patterns number 3 ** labellers at most, so their counts fit the driver.
+    hash of id and text; patterns number 3 ** labellers at most, so their counts fit the driver.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     patterns = own.mapInArrow(_vote_batches, "doc_id long, votes string").groupBy("votes").agg(F.count("*").alias("n"))
@@ -213,18 +237,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts
     whole = sum(counts.values())
     # bad texts are fewer: draw enough texts to find texts // 2 of them, then trim the good ones
     share = min(1.0, 1.2 * texts / 2 / max(min(good, whole - good), 1))
-    h = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(6)), F.lit(1_000_000))
+    h = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text", F.lit(6)), F.lit(1_000_000))
     drawn = own.where((F.length("text") <= chars) & (h < int(share * 1_000_000) + 1)).select("text", h.alias("h"))
     thin = {True: min(1.0, 0.6 * texts / max(good * share, 1)), False: min(1.0, 0.6 * texts / max((whole - good) * share, 1))}
     keep = {p: int(thin[model.posterior(p) >= 0.5] * 1000) + 1 for p in counts}
 
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            take = [zlib.crc32(str(i).encode()) % 1000 < keep.get(votes(t), 1000) for t, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            take = [zlib.crc32(b"%d" % i) % 1000 < keep.get(votes(t), 1000) for t, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield from _feature_batches(iter([batch.filter(pa.array(take))]))
 
-    rows = drawn.mapInArrow(thinned, "votes string, slots array<long>, values array<double>, h long").collect()
-    rows = sorted(rows, key=lambda r: (r["h"], r["votes"], r["slots"]))
+    rows = drawn.mapInArrow(thinned, "votes string, slots array<long>, values array<double>, h long")
+    rows = rows.orderBy("h", "votes", "slots").limit(3 * texts).collect()  # some 1.2 * texts, were hashes not all alike
     sides = [[r for r in rows if (model.posterior(r["votes"]) >= 0.5) is side][: texts // 2] for side in (True, False)]
     fit = [(np.array(r["slots"], np.int64), np.array(r["values"]), model.posterior(r["votes"])) for r in sides[0] + sides[1]]
     return (model, *fit_scorer(fit))
