@@ -3,7 +3,7 @@
 Patterns find e-mail addresses, IP addresses, card numbers and phone numbers.  The field labels
 tokens that hold a digit or an at sign; all other tokens are outside by definition.  Neighbouring
 tokens share a potential, and so do distant tokens of one document that repeat each other or end
-in the same digits.  Loopy belief propagation settles the labels; what a pattern has found is
+in the same digits, by themselves or as groups of one number.  Loopy belief propagation settles the labels; what a pattern has found is
 clamped.  So a number found once in full is also found where it is repeated in part.  The field is
 trained here, by pseudo-likelihood on generated sentences with known labels.
 """
@@ -94,7 +94,7 @@ CUES = {
     "phone": "phone call tel telephone mobile fax cell ring number",
 }
 CUE = {w: k for k, ws in CUES.items() for w in ws.split()}
-FEATURES = ["bias", "at", "at_dotted", "plus", "open", "close", "dots3", "dots3_big", "digits16", "digits16_luhn", "digits7", "digits3", "digits10", "long", "letters", "dash", "hex", "year", *(f"cue_{k}" for k in KINDS)]
+FEATURES = ["bias", "at", "at_dotted", "plus", "open", "close", "dots3", "dots3_big", "digits16", "digits16_luhn", "digits7", "digits4", "digits3", "digits2", "digits10", "long", "letters", "dash", "hex", "year", *(f"cue_{k}" for k in KINDS)]
 _AT = {f: i for i, f in enumerate(FEATURES)}
 
 
@@ -102,7 +102,8 @@ def features(token: str, before: str) -> list[int]:
     """The numbers of the features that hold for a token and the one before it."""
     digits = re.sub("[^0-9]", "", token)
     core = token.strip(".,;:!?\"'*#%$&<>[]{}|")
-    n, on = len(digits), ["bias"]
+    hexadecimal = bool(re.fullmatch(r"\W*[0-9a-fA-F]{20,}\W*", core))
+    n, on = 0 if hexadecimal else len(digits), ["bias"]
     on += ["at"] * ("@" in token) + ["at_dotted"] * bool(re.search(r"@[^@]+\.", token))
     on += ["plus"] * token.startswith("+") + ["open"] * token.startswith("(") + ["close"] * core.endswith(")")
     parts = core.split(".")
@@ -110,34 +111,63 @@ def features(token: str, before: str) -> list[int]:
         on.append("dots3" if all(len(p) < 4 and int(p) < 256 for p in parts) else "dots3_big")
     if 16 <= n <= 19:
         on.append("digits16_luhn" if luhn(digits) else "digits16")
-    on += ["digits7"] * (n == 7) + ["digits3"] * (n == 3) + ["digits10"] * (8 <= n <= 15) + ["long"] * (n > 19)
+    on += ["digits7"] * (n == 7) + ["digits3"] * (n == 3) + ["digits4"] * (n == 4) + ["digits2"] * (n == 2) + ["digits10"] * (8 <= n <= 15) + ["long"] * (n > 19)
     on += ["letters"] * bool(re.search("[A-Za-z]", core)) + ["dash"] * ("-" in core)
-    on += ["hex"] * bool(re.fullmatch(r"\W*[0-9a-fA-F]{20,}\W*", core)) + ["year"] * bool(re.fullmatch("(19|20)[0-9]{2}", core))
+    on += ["hex"] * hexadecimal + ["year"] * bool(re.fullmatch("(19|20)[0-9]{2}", core))
     if (k := CUE.get(before.lower().strip(".,;:!?\"'"))) is not None:
         on.append(f"cue_{k}")
     return [_AT[f] for f in on]
 
 
+_NUMBER = re.compile(r"\W*[0-9][0-9().+-]*\W*")
+_STOP = re.compile(r"[.,;:!?]\W*$")
+
+
+def number_runs(tokens: list[str], at: list[int]) -> list[list[int]]:
+    """Runs of adjacent candidates that are groups of figures; punctuation ends a run."""
+    runs: list[list[int]] = []
+    ended = True
+    for i, t in enumerate(tokens):
+        if not _NUMBER.fullmatch(t):
+            ended = True
+            continue
+        if ended or at[i] != at[i - 1] + 1 or t[0] == "+":
+            runs.append([])
+        runs[-1].append(i)
+        ended = bool(_STOP.search(t))
+    return runs
+
+
 def links(tokens: list[str], at: list[int], known: Container[int] = ()) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Chain and skip links among candidates; at has their places among all tokens.
 
-    Repeats of a key are joined each to the first known one, so that none is far from the evidence;
-    if none is known, each to the next one.  Either way a token has one link a key at most.
+    A key is an address, the figures of a token, or the last seven figures of a token or of a run of
+    groups; of runs with one key the groups are joined from the last on, as far as their figures
+    agree.  Repeats of a key are joined each to the first known one, so that none is far from the
+    evidence; if none is known, each to the next one.  So a token has one link a key at most.
     """
     chain = [(i, i + 1) for i in range(len(at) - 1) if at[i + 1] == at[i] + 1]
     skip, places = set(), {}
+    figures = [re.sub("[^0-9]", "", t) for t in tokens]
     for i, t in enumerate(tokens):
-        digits = re.sub("[^0-9]", "", t)
         own = []
         if "@" in t:
             own.append(("a", t.lower().strip(".,;:!?()\"'<>[]")))
-        elif len(digits) >= 7 and len(digits) <= 40:
-            own += [("d", digits), ("e", digits[-7:])]
+        elif len(figures[i]) >= 7:
+            own += [("d", figures[i]), ("e", figures[i][-7:])]
         for key in own:
-            places.setdefault(key, []).append(i)
+            places.setdefault(key, []).append([i])
+    for run in number_runs(tokens, at):
+        whole = "".join([figures[i] for i in run])
+        if len(run) > 1 and len(whole) >= 7:
+            places.setdefault(("r", whole[-7:]), []).append(run[::-1])
     for same in places.values():
-        hub = next((i for i in same if i in known), None)
-        skip.update(zip(same, same[1:]) if hub is None else ((min(i, hub), max(i, hub)) for i in same if i != hub))
+        hub = next((x for x in same if any(i in known for i in x)), None)
+        for x, y in zip(same, same[1:]) if hub is None else ((hub, x) for x in same if x is not hub):
+            for i, j in zip(x, y):
+                if len(x) > 1 and figures[i] != figures[j]:
+                    break
+                skip.add((min(i, j), max(i, j)))
     return chain, sorted(skip - set(chain))
 
 
@@ -184,7 +214,7 @@ class Field:
         return p / p.sum(1, keepdims=True)
 
 
-def generated(seed: int, texts: int = 400) -> Iterator[tuple[list[str], list[int]]]:
+def generated(seed: int, texts: int = 600) -> Iterator[tuple[list[str], list[int]]]:
     """Token lists with labels: personal data in full and in part, and numbers that are none."""
     rng = random.Random(seed)
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
@@ -203,7 +233,13 @@ def generated(seed: int, texts: int = 400) -> Iterator[tuple[list[str], list[int
             if kind != "none" and rng.random() < 0.3:
                 say(rng.choice(CUES[kind].split()))
             y = KINDS.index(kind) + 1 if kind != "none" else 0
-            if kind == "phone":
+            if kind == "phone" and rng.random() < 0.5:
+                groups = [digits(rng.choice((2, 3, 4))), digits(rng.choice((3, 4))), digits(4)] if rng.random() < 0.6 else [digits(rng.choice((7, 9, 10)))]
+                say("+" + digits(rng.choice((1, 2))), *groups, y=y)
+                for _ in range(rng.randint(0, 2)):
+                    say(*(word() for _ in range(3)))
+                    say(*(groups if rng.random() < 0.5 or len("".join(groups[1:])) < 7 else groups[1:]), y=y)
+            elif kind == "phone":
                 area, local = f"({digits(3)})", f"{digits(3)}-{digits(4)}"
                 say("+" + digits(1), area, local, y=y)
                 for _ in range(rng.randint(0, 2)):
@@ -222,18 +258,25 @@ def generated(seed: int, texts: int = 400) -> Iterator[tuple[list[str], list[int
                     say(word())
             elif kind == "card":
                 x = card()
+                if rng.random() < 0.4:
+                    groups = [x[i : i + 4] for i in range(0, 16, 4)]
+                    say(*groups, y=y)
+                    say(word(), word())
+                    if rng.random() < 0.6:
+                        say(*(groups if rng.random() < 0.5 else groups[2:]), y=y)
+                    continue
                 say(x, y=y)
                 if rng.random() < 0.4:
                     say(word(), word())
-                    say("".join(("x" * 9, x[9:])), y=y)
+                    say(rng.choice(("x" * 9 + x[9:], x[rng.randint(4, 9) :])), y=y)
             else:
-                say(rng.choice((digits(4), str(rng.randint(1900, 2030)), digits(16), f"{digits(1)}.{digits(1)}.{digits(1)}", f"({digits(3)})", f"{digits(3)}-{digits(4)}", digits(7), digits(3), digits(11), f"{digits(2)},{digits(3)}", hashlib.sha1(digits(9).encode()).hexdigest(), f"{word()}@{word()}", ".".join(digits(4) for _ in range(4)))))
+                say(rng.choice((digits(4), str(rng.randint(1900, 2030)), digits(16), f"{digits(1)}.{digits(1)}.{digits(1)}", f"({digits(3)})", f"{digits(3)}-{digits(4)}", digits(7), digits(3), digits(11), digits(2), f"{digits(2)},{digits(3)}", str(int(hashlib.sha1(digits(9).encode()).hexdigest(), 16))[:40], hashlib.sha1(digits(9).encode()).hexdigest(), f"{word()}@{word()}", ".".join(digits(4) for _ in range(4)))))
             say(word())
         yield [t for t, _ in out], [y for _, y in out]
 
 
 @lru_cache(1)
-def trained(seed: int = 7, rounds: int = 300, rate: float = 2.0, decay: float = 1e-4) -> Field:
+def trained(seed: int = 7, rounds: int = 1200, rate: float = 2.0, decay: float = 1e-4) -> Field:
     """Weights by gradient ascent on the pseudo-likelihood of generated texts."""
     k = len(KINDS) + 1
     rows, near, far, truth = [], [], [], []
@@ -272,8 +315,6 @@ _EDGE = ".,;:!?\"'*#%$&<>[]{}|"
 
 def added_spans(text: str, base: list[Span], field: Field, sure: float = 0.9) -> list[Span]:
     """Spans that the field adds to those of the patterns; none overlaps one of these."""
-    if not base and "@" not in text and not re.search("[0-9]{3}", text):
-        return []
     places = [m.span() for m in TOKEN.finditer(text)]
     at = [i for i, (a, b) in enumerate(places) if MARK.search(text, a, b)]
     tokens = [text[slice(*places[i])] for i in at]
@@ -292,7 +333,7 @@ def added_spans(text: str, base: list[Span], field: Field, sure: float = 0.9) ->
     run: tuple[int, int, int] | None = None  # label, first, last
     for j, (best, top) in enumerate(zip(p.argmax(1).tolist(), p.max(1).tolist())):
         y = best if top >= sure and j not in clamped else OUT
-        if run and y == run[0] and KINDS[y - 1] == "phone" and at[j] == at[run[2]] + 1:
+        if run and y == run[0] and KINDS[y - 1] in ("card", "phone") and at[j] == at[run[2]] + 1 and not _STOP.search(tokens[run[2]]):
             run = (y, run[1], j)
             continue
         if run:
@@ -313,6 +354,8 @@ def _trimmed(text: str, kind: str, a: int, b: int) -> Span:
 
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(spans of the patterns, all spans), each in order of kind and start."""
+    if not MARK.search(text):
+        return [], []
     base = base_spans(text)
     more = added_spans(text, base, field)
     return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1])) if more else base
@@ -362,7 +405,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def mask_texts(docs: DataFrame, text_col: str = "text", chars_col: str | None = None, field: Field | None = None) -> DataFrame:
-    """docs with the texts masked, and chars_col, if given, counted anew; null texts stay null."""
+    """docs with the texts masked, and chars_col, if given, counted anew.
+
+    Null texts stay null and empty ones empty; equal texts are masked alike; rows and all other
+    columns stay as they are.
+    """
     field = field or trained()
     names = docs.columns
     at = names.index(text_col)
