@@ -3,12 +3,14 @@
 After Chakraborty, Goldenberg and Koucky (2016): a walk over the text writes its current character
 at each step and moves on to the next one if a shared random function of step and character says
 so.  Texts at a small edit distance walk in step again soon after each edit, so that their outputs
-differ at few steps.  The output is not kept.  Of it SAMPLES steps are read, each the step of
-least random rank below the output's length, so that outputs of nearly equal length are read at
-the same steps; a fingerprint has four bits of a hash of each character read.
+differ at few steps.  A walk may miss the other's step by chance for long, so that WALKS
+independent ones are taken and the one that agrees best counts.  The output is not kept.  Of each
+walk's SAMPLES steps are read, each the step of least random rank below the output's length, so
+that outputs of nearly equal length are read at the same steps; a fingerprint has four bits of a
+hash of each character read.
 
 Near texts are found by bands of sampled bits, and verified by the fingerprints' likeness
-(near_texts()).  There is one band more than samples may differ, so that one agrees in full.
+(near_texts()).  Each walk has one band more than samples may differ, so that one agrees in full.
 """
 
 from __future__ import annotations
@@ -28,17 +30,17 @@ from .buckets import CHUNK, verified_links
 from .common import materialise, table
 from .components import connected_components
 
-CLASSES, PERIOD, SAMPLES, SEED = 64, 4096, 128, 2016
+CLASSES, PERIOD, WALKS, SAMPLES, SEED = 64, 4096, 2, 64, 2016
 #: Texts are near if so much of their samples agrees.
 NEAR = 0.9
 #: Texts above so many characters are walked in pieces of that size.
 PIECE = 1 << 16
 
 
-@lru_cache(1)
-def walk_table() -> list[list[int]]:
-    """For each class of characters and step, modulo PERIOD, how many steps the walk stays."""
-    bits = np.random.default_rng(SEED).integers(0, 2, (CLASSES, PERIOD))
+@lru_cache(WALKS)
+def walk_table(no: int) -> list[list[int]]:
+    """For each class of characters and step, modulo PERIOD, how many steps walk no stays."""
+    bits = np.random.default_rng([SEED, no]).integers(0, 2, (CLASSES, PERIOD))
     bits[:, -1] = 1
     stay = np.empty((CLASSES, PERIOD), np.int64)
     to = np.full(CLASSES, 0)
@@ -52,7 +54,7 @@ def walk_table() -> list[list[int]]:
 def ranks() -> tuple[np.ndarray, list[int]]:
     """For each sample the steps that have a lesser rank than all steps before, and all of them."""
     rng, rows = np.random.default_rng(SEED + 1), []
-    for _ in range(SAMPLES):
+    for _ in range(WALKS * SAMPLES):
         at, least, row = 0, rng.random(), [0]
         while at < 1 << 48:
             at += int(rng.geometric(max(least, 1e-15)))
@@ -70,27 +72,27 @@ def _classes(text: str) -> tuple[bytes, np.ndarray]:
     return ((mixed >> np.uint32(26)) & np.uint32(CLASSES - 1)).astype(np.uint8).tobytes(), ((mixed >> np.uint32(13)) & np.uint32(15)).astype(np.uint8)
 
 
-def _times(classes: bytes, j: int) -> list[int]:
-    """The step at which the walk leaves each character, if it comes to the first at step j."""
-    stay, mask = walk_table(), PERIOD - 1
+def _times(classes: bytes, j: int, no: int) -> list[int]:
+    """The step at which walk no leaves each character, if it comes to the first at step j."""
+    stay, mask = walk_table(no), PERIOD - 1
     return [j := j + stay[c][j & mask] for c in classes]
 
 
 class Walk:
-    """The walk over one text, which can go on over other texts."""
+    """One walk over a text, which can go on over other texts."""
 
-    def __init__(self, text: str):
-        self.text, self.n = text, len(text)
-        self.classes, self.symbols = _classes(text)
+    def __init__(self, classes: bytes, symbols: np.ndarray, no: int):
+        self.no, self.n = no, len(classes)
+        self.classes, self.symbols = classes, symbols
         if self.n <= PIECE:
-            self.times = _times(self.classes, 0)
+            self.times = _times(self.classes, 0, no)
             self.length = self.times[-1] if self.times else 0
         else:
             self.times = None
             self.ends, self.length = [], 0
             for i in range(0, self.n, PIECE):
                 self.ends.append(self.length)
-                self.length = _times(self.classes[i : i + PIECE], self.length)[-1]
+                self.length = _times(self.classes[i : i + PIECE], self.length, no)[-1]
 
     def time(self, i: int) -> int:
         """The step at which the walk comes to character i."""
@@ -99,7 +101,7 @@ class Walk:
         piece, rest = divmod(i, PIECE)
         if piece == len(self.ends):
             return self.length
-        return _times(self.classes[piece * PIECE : piece * PIECE + rest], self.ends[piece])[-1] if rest else self.ends[piece]
+        return _times(self.classes[piece * PIECE : piece * PIECE + rest], self.ends[piece], self.no)[-1] if rest else self.ends[piece]
 
     def read(self, steps: list[int]) -> list[int]:
         """The symbols written at some steps of this walk."""
@@ -109,35 +111,46 @@ class Walk:
         for p in sorted(steps):
             pieces.setdefault(bisect_right(self.ends, p) - 1, []).append(p)
         for k, own in pieces.items():
-            times = _times(self.classes[k * PIECE : (k + 1) * PIECE], self.ends[k])
+            times = _times(self.classes[k * PIECE : (k + 1) * PIECE], self.ends[k], self.no)
             for p in own:
                 out[p] = int(self.symbols[k * PIECE + bisect_right(times, p)])
         return [out[p] for p in steps]
 
 
-def _steps(length: int) -> list[int]:
-    rows = ranks()[0]
+class Walks:
+    """All walks over a text."""
+
+    def __init__(self, text: str):
+        self.text, self.n = text, len(text)
+        self.each = [Walk(*_classes(text), no) for no in range(WALKS)]
+
+
+def _steps(length: int, no: int) -> list[int]:
+    rows = ranks()[0][no * SAMPLES : (no + 1) * SAMPLES]
     return rows[np.arange(SAMPLES), (rows < length).sum(1) - 1].tolist()
 
 
-def fingerprint(text: str | Walk) -> list[int]:
-    """SAMPLES numbers of four bits; all 0 for the empty text."""
-    w = text if isinstance(text, Walk) else Walk(text)
-    return w.read(_steps(w.length)) if w.n else [0] * SAMPLES
+def fingerprint(text: str | Walks) -> list[int]:
+    """SAMPLES numbers of four bits for each walk; all 0 for the empty text."""
+    own = text if isinstance(text, Walks) else Walks(text)
+    return [x for w in own.each for x in w.read(_steps(w.length, w.no))] if own.n else [0] * (WALKS * SAMPLES)
 
 
-def edited_fingerprint(w: Walk, keep: int, more: str) -> list[int]:
-    """fingerprint(w.text[:keep] + more), without walking over what is kept again."""
+def edited_fingerprint(own: Walks, keep: int, more: str) -> list[int]:
+    """fingerprint(own.text[:keep] + more), without walking over what is kept again."""
     if not more:
-        return fingerprint(w) if keep == w.n else fingerprint(w.text[:keep])
-    start = w.time(keep)
+        return fingerprint(own) if keep == own.n else fingerprint(own.text[:keep])
     if len(more) > PIECE:
-        return fingerprint(w.text[:keep] + more)
+        return fingerprint(own.text[:keep] + more)
     classes, symbols = _classes(more)
-    times = _times(classes, start)
-    steps = _steps(times[-1])
-    first = iter(w.read([p for p in steps if p < start]))
-    return [next(first) if p < start else int(symbols[bisect_right(times, p)]) for p in steps]
+    out = []
+    for w in own.each:
+        start = w.time(keep)
+        times = _times(classes, start, w.no)
+        steps = _steps(times[-1], w.no)
+        first = iter(w.read([p for p in steps if p < start]))
+        out += [next(first) if p < start else int(symbols[bisect_right(times, p)]) for p in steps]
+    return out
 
 
 def to_hex(f: list[int]) -> str:
@@ -145,8 +158,8 @@ def to_hex(f: list[int]) -> str:
 
 
 def likeness(a: list[int] | str, b: list[int] | str) -> float:
-    """The part of the samples that agree."""
-    return sum(x == y for x, y in zip(a, b)) / SAMPLES
+    """The part of the samples that agree, of the walk of which most do."""
+    return max(sum(x == y for x, y in zip(a[i : i + SAMPLES], b[i : i + SAMPLES])) for i in range(0, WALKS * SAMPLES, SAMPLES)) / SAMPLES
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,16 +168,16 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def _forest(differ: int):
-    """Links that join what differs in so many samples at most, one fewer than nodes for each component."""
+    """Links that join what differs in so many samples of a walk at most, one fewer than nodes for each component."""
 
     def run(prints: list[str]) -> Iterator[tuple[int, int]]:
-        f = np.frombuffer("".join(prints).encode(), np.uint8).reshape(-1, SAMPLES)
+        f = np.frombuffer("".join(prints).encode(), np.uint8).reshape(-1, WALKS, SAMPLES)
         rest = np.arange(len(f))
         while len(rest):
             queue, rest = [int(rest[0])], rest[1:]
             while queue and len(rest):
                 q = queue.pop()
-                near = (f[rest] != f[q]).sum(1) <= differ
+                near = ((f[rest] != f[q]).sum(2) <= differ).any(1)
                 hit = rest[near].tolist()
                 yield from ((q, x) for x in hit)
                 queue += hit
@@ -177,7 +190,7 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, fingerprint, component_id) for each row of docs.
 
     component_id is the least id that can be reached over pairs of a likeness of least or more.
-    Every such pair is met: if d samples may differ, one of d + 1 bands of samples agrees.  Only
+    Every such pair is met: if d samples of a walk may differ, one of its d + 1 bands agrees.  Only
     distinct fingerprints are keyed.  Null texts are empty; a repeated row comes back as often; a
     group of null ids only has a null component_id.
     """
@@ -189,7 +202,8 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     distinct = materialise(distinct.withColumn("node", F.monotonically_increasing_id()))
     edges = np.linspace(0, SAMPLES, differ + 2).round().astype(int).tolist()
-    bands = [F.xxhash64(F.lit(i), F.substring("fingerprint", a + 1, b - a)) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+    cuts = [(no * SAMPLES + a, b - a) for no in range(WALKS) for a, b in zip(edges, edges[1:])]
+    bands = [F.xxhash64(F.lit(i), F.substring("fingerprint", a + 1, n)) for i, (a, n) in enumerate(cuts)]
     keyed = distinct.select(F.explode(F.array_distinct(F.array(*bands))).alias("key"), "node", F.lit(1).alias("weight"), F.col("node").alias("root"))
     contents = lambda nodes: distinct.join(nodes, "node", "left_semi").select("node", F.col("fingerprint").alias("content"))
     roots = connected_components(verified_links(keyed, contents, _forest(differ), chunk))
@@ -204,7 +218,7 @@ KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float
 NAMES = [x.split()[0] for x in DONE.split(", ")]
 
 
-def compare(text: str, w: Walk, f: list[int], following: str, following_f: list[int]) -> tuple:
+def compare(text: str, w: Walks, f: list[int], following: str, following_f: list[int]) -> tuple:
     """What RESULT names, for a text and the one that follows it."""
     n = len(text)
     keep = n - n // 4
@@ -223,7 +237,7 @@ def _neighbour_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or ""
-            w = Walk(text)
+            w = Walks(text)
             f = fingerprint(w)
             if before:
                 out.append((before[0], *compare(*before[1:], text, f), None, None, None))
@@ -242,7 +256,7 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         out = []
         for doc_id, text, following in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            w = Walk(text)
+            w = Walks(text)
             out.append((doc_id, *compare(text, w, fingerprint(w), following, fingerprint(following))))
         if out:
             yield _batch(out, NAMES[:7], KINDS[:7])
