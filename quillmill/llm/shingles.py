@@ -9,7 +9,7 @@ a key is verified on all shingles of the texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .buckets import CHUNK, verified_links
-from .common import materialise
+from .common import bounded, materialise
 
 WORDS = 5
 #: The least similarity, as a fraction.
@@ -87,22 +87,18 @@ def sketch(own: np.ndarray) -> bytes:
     return np.minimum(np.bincount(own & (CELLS - 1), minlength=CELLS), 255).astype(np.uint8).tobytes() + len(own).to_bytes(4, "little")
 
 
-def rough(sketches: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Links that join all that may be alike: no two sets share more than the lesser counts of all cells."""
+def rough(sketches: list[bytes]) -> Callable[[int, np.ndarray], np.ndarray]:
+    """Which of some others may be alike to one: no two sets share more than the lesser counts of all cells."""
     flat = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, CELLS + 4)
     cells, size = flat[:, :CELLS], np.ascontiguousarray(flat[:, CELLS:]).view(np.uint32)[:, 0].astype(np.int64)
     full = (cells == 255).any(1)
-    rest = np.arange(len(flat))
-    while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            q = queue.pop()
-            both = np.where(full[rest] | full[q], np.minimum(size[rest], size[q]), np.minimum(cells[rest], cells[q]).sum(1, dtype=np.int64))
-            near = both * LIKE[1] >= LIKE[0] * (size[q] + size[rest] - both)
-            hit = rest[near].tolist()
-            yield from ((q, x) for x in hit)
-            queue += hit
-            rest = rest[~near]
+
+    def near(q: int, others: np.ndarray) -> np.ndarray:
+        least = np.minimum(size[others], size[q])
+        both = np.where(full[others] | full[q], least, np.minimum(cells[others], cells[q]).sum(1, dtype=np.int64))
+        return both * LIKE[1] >= LIKE[0] * (size[q] + size[others] - both)
+
+    return near
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +158,6 @@ def shingle_links(docs: DataFrame, text_col: str = "text", known: DataFrame | No
     else:
         shared = shared.withColumn("root", F.col("node"))
     keyed = materialise(shared)
-    contents = lambda nodes: own.join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", F.col("text").alias("content"))
+    contents = lambda nodes: own.join(bounded(nodes, 200_000), "node", "left_semi").dropDuplicates(["node"]).select("node", F.col("text").alias("content"))
     sketches = own.mapInArrow(_sketch_batches, "node long, sketch binary").groupBy("node").agg(F.min("sketch").alias("sketch"))
     return verified_links(keyed, contents, forest, chunk, sketches, rough)

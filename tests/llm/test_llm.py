@@ -130,6 +130,10 @@ def test_components_of_long_chains_and_stars(spark):
 @pytest.mark.parametrize("chunk", [shingles.CHUNK, 8])
 def test_shingle_links_match_brute_force(spark, monkeypatch, chunk):
     import corpus_pipeline
+    from quillmill.llm import buckets
+
+    if chunk == 8:  # trees of blocks, and blocks in full
+        monkeypatch.setattr(buckets, "SPARSE", 0)
 
     monkeypatch.setattr(shingles, "ORDER_LEAST", 5)
     rng = random.Random(19)
@@ -157,6 +161,28 @@ def test_shingle_links_match_brute_force(spark, monkeypatch, chunk):
         assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == set(want)
 
 
+def test_sketches_allow_all_that_is_alike():
+    rng = np.random.default_rng(24)
+    for _ in range(300):
+        a = np.unique(rng.integers(-(1 << 62), 1 << 62, rng.choice((3, 60, 700, 90000))))
+        b = np.unique(np.r_[a[rng.random(len(a)) < rng.uniform(0.7, 1)], rng.integers(0, 1 << 62, int(len(a) * rng.uniform(0, 0.2)))])
+        if len(b) and shingles.alike(a, b):
+            assert shingles.rough([shingles.sketch(a), shingles.sketch(b)])(0, np.array([1]))[0]
+    a, b = (np.unique(rng.integers(0, 1 << 62, 300)) for _ in range(2))
+    assert not shingles.rough([shingles.sketch(a), shingles.sketch(b)])(0, np.array([1]))[0]
+
+
+def test_different_texts_of_one_id_are_different_documents(spark):
+    import corpus_pipeline
+
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "y"), (2, b, "x"), (None, a, "x"), (None, "a text of its own that no other row has", "x"), (3, None, "x"), (4, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (None, rows[5][1]), (3, None)], key=str)
+    assert corpus_pipeline.drop_near_duplicates(spark, df.limit(0), "").count() == 0
+
+
 # --- chat format ---
 
 
