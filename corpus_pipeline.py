@@ -44,11 +44,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     told = materialise(told.where("not stays or n > 1"))
     same = (F.col("_node") == F.col("_its")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = docs.withColumn("_node", node)
-    kept = rows.join(bounded(told.select("_id", "_its")), same, "left_anti").select(*docs.columns)
+    kept = rows.join(bounded(told.select("_id", "_its"), 200_000), same, "left_anti").select(*docs.columns)
     twice = told.where("stays")
     if twice.isEmpty():
         return kept
-    again = rows.join(bounded(twice.select("_id", "_its")), same, "left_semi")
+    again = rows.join(bounded(twice.select("_id", "_its"), 200_000), same, "left_semi")
     one = again.groupBy("doc_id", "_node").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("one")).select("one.*")
     return kept.unionByName(one)
 
