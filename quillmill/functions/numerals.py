@@ -81,33 +81,32 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _range(pair_l: Column, pair_r: Column, most: int) -> Column:
+def _range(pair_l: Column, pair_r: Column) -> Column:
     def filled(p: Column) -> Column:
         a, b = p["a"], p["b"]
         a, b = F.when(a <= 0, b).otherwise(a), F.when(b <= 0, a).otherwise(b)
         return F.named_struct(F.lit("lo"), F.least(a, b), F.lit("hi"), F.greatest(a, b))
 
     def numbers(p: Column) -> Column:
-        return F.when(p["hi"] > 0, F.sequence(F.greatest(p["lo"], F.lit(1)), F.least(p["hi"], p["lo"] + most))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(p["hi"] > 0, F.sequence(F.greatest(p["lo"], F.lit(1)), p["hi"])).otherwise(F.array().cast("array<bigint>"))
 
     return let(let(F.named_struct(F.lit("a"), cn_to_int(pair_l), F.lit("b"), cn_to_int(pair_r)), filled), numbers)
 
 
-def expand_articles(c: Column, most: int = 10_000) -> Column:
+def expand_articles(c: Column) -> Column:
     """All article numbers that a text names: ranges, lists and single ones, ascending.
 
     A continuation mark （续n） is dropped first, so that spans which end in one keep their range.
-    A range longer than `most` is cut there.
     """
     n = NUMERAL + "+"
     rng = rf"第?\s*({n})\s*条?\s*(?:至第|到第|至|到|-)\s*第?\s*({n})\s*条?"
     one = rf"第\s*({n})\s*条"
     t = F.regexp_replace(narrow_digits(F.coalesce(c.cast("string"), F.lit(""))), "[－—–~]", "-")
-    return let(F.regexp_replace(t, "（续[0-9]+）", ""), lambda t: _expanded(t, rng, one, most))
+    return let(F.regexp_replace(t, "（续[0-9]+）", ""), lambda t: _expanded(t, rng, one))
 
 
-def _expanded(t: Column, rng: str, one: str, most: int) -> Column:
-    spans = F.flatten(F.zip_with(F.regexp_extract_all(t, F.lit(rng), F.lit(1)), F.regexp_extract_all(t, F.lit(rng), F.lit(2)), lambda a, b: _range(a, b, most)))
+def _expanded(t: Column, rng: str, one: str) -> Column:
+    spans = F.flatten(F.zip_with(F.regexp_extract_all(t, F.lit(rng), F.lit(1)), F.regexp_extract_all(t, F.lit(rng), F.lit(2)), lambda a, b: _range(a, b)))
     rest = F.regexp_replace(t, rng, " ")
     singles = F.transform(F.regexp_extract_all(rest, F.lit(one), F.lit(1)), cn_to_int)
     rest = F.regexp_replace(rest, one, " ")

@@ -76,9 +76,23 @@ def court(body: Column) -> Column:
 
 
 def judgment_date(body: Column) -> Column:
-    """The last date in Chinese numerals, as ISO; null for none."""
-    d = F.regexp_extract_all(text(body), F.lit("([〇零○ＯO一二三四五六七八九十]{4}年[〇零一二三四五六七八九十]{1,3}月[〇零一二三四五六七八九十]{1,3}日)"), F.lit(1))
-    return F.try_element_at(F.filter(F.transform(d, lambda x: cn_date(F.translate(x, "○ＯO", "〇〇〇"))), lambda x: x.isNotNull()), F.lit(-1))
+    """The date in Chinese numerals that is most likely the judgment's, as ISO; null for none.
+
+    A date scores its distance from the end of the text, and 1000 more without a word of judgment
+    within 20 characters; the least score wins, then the latest date.
+    """
+    t = text(body)
+    found, between = F.regexp_extract_all(t, F.lit(f"({profiles.DATE})"), F.lit(1)), F.split(t, profiles.DATE, -1)
+    total = lambda parts: F.aggregate(F.transform(parts, F.length), F.lit(0), lambda a, n: a + n)
+
+    def scored(d: Column, i: Column) -> Column:
+        start = total(F.slice(between, 1, i + 1)) + total(F.slice(found, 1, i))
+        around = F.substring(t, F.greatest(start - 19, F.lit(1)), start + F.length(d) + 20 - F.greatest(start - 20, F.lit(0)))
+        iso = cn_date(F.translate(d, "○ＯO", "〇〇〇"))
+        score = F.when(around.rlike(profiles.JUDGED), 0).otherwise(1000) + F.length(t) - start
+        return F.struct(score.alias("score"), (-F.translate(iso, "-", "").cast("int")).alias("late"), iso.alias("iso"))
+
+    return F.array_min(F.filter(F.transform(found, scored), lambda x: x["iso"].isNotNull()))["iso"]
 
 
 # --- citations by a cursor ---
@@ -149,10 +163,15 @@ def _once(names: Column) -> Column:
 
 
 def amended_laws(body: Column) -> Column:
-    """Names of the laws that a decision amends, by four ways to say so."""
+    """Names of the laws that a decision amends, by four ways to say so, in the order of the text."""
     t = squeeze(body)
-    found = [F.regexp_extract_all(F.substring(t, 1, 400) if i == 0 else t, F.lit(p), F.lit(1)) for i, p in enumerate(AMENDS)]
-    return _once(F.concat(F.slice(found[0], 1, 1), *found[1:]))
+    found = []
+    for i, p in enumerate(AMENDS):
+        where = F.substring(t, 1, 400) if i == 0 else t
+        hits = F.arrays_zip(F.regexp_extract_all(where, F.lit(p), F.lit(0)).alias("whole"), F.regexp_extract_all(where, F.lit(p), F.lit(1)).alias("name"))
+        hits = F.transform(hits, lambda h, i=i: F.struct(F.call_function("instr", t, h["whole"]).alias("at"), F.lit(i).alias("way"), h["name"].alias("name")))
+        found.append(F.slice(hits, 1, 1) if i == 0 else hits)
+    return _once(F.transform(F.array_sort(F.concat(*found)), lambda h: h["name"]))
 
 
 def repealed_laws(body: Column) -> Column:
@@ -177,9 +196,9 @@ def nda_gate(title: Column, body: Column) -> Column:
     return (n >= 2) & ~text(title).rlike(profiles.INSURANCE) & ~text(body).rlike(profiles.INSURANCE)
 
 
-def classify(docs: DataFrame, keywords: dict[str, str] = KEYWORDS, title: str = "title", body: str = "body", least: int = 3, margin: int = 1, chars: int = 2000, gates: dict[str, Column] | None = None) -> DataFrame:
+def classify(docs: DataFrame, keywords: dict[str, str] = KEYWORDS, title: str = "title", body: str = "body", least: int = 3, margin: int = 1, chars: int | None = 2000, gates: dict[str, Column] | None = None) -> DataFrame:
     """docs with scores map and label: the best of at least `least` points and `margin` above the next, else uncertain."""
-    b = F.substring(text(F.col(body)), 1, chars)
+    b = text(F.col(body)) if chars is None else F.substring(text(F.col(body)), 1, chars)
     labels = sorted(keywords)
     d = docs.withColumn("scores", F.create_map(*[x for k in labels for x in (F.lit(k), keyword_score(F.col(title), b, keywords[k].split()).cast("long"))]))
     ranked = F.array_sort(F.transform(F.map_entries("scores"), lambda e: F.struct((-e["value"]).alias("s"), e["key"].alias("k"))))

@@ -19,7 +19,7 @@ def citations(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text
     return rows.withColumn("law_norm", law_name(F.col("law_raw"), deep=False)).withColumn("article", cn_to_int(F.col("article_raw")))
 
 
-def target_keys(targets: DataFrame, suffixes: int = 2) -> DataFrame:
+def target_keys(targets: DataFrame, suffixes: int = 1) -> DataFrame:
     """(chunk_id, key, article) under which targets are cited.
 
     Keys are the name, each suffix of it of at least `suffixes` characters, and the aliases; spans
@@ -36,7 +36,7 @@ def cite_edges(cited: DataFrame, targets: DataFrame, id_col: str = "chunk_id", t
     """(edges from_chunk, to_chunk, edge; citations without any target).
 
     A target answers to its name, to an end of it and to its aliases, for articles within its
-    span.  Single-character names match whole names only.
+    span.
     """
     keys = target_keys(targets.where(F.col("doc_type").isin(*types))).withColumnRenamed("chunk_id", "to_chunk")
     c = cited.where("law_norm <> ''").withColumnRenamed(id_col, "from_chunk")

@@ -27,13 +27,14 @@ def first_by_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 def change_status(incoming: DataFrame, existing: DataFrame, key: str = "chunk_id", text: str = "text", sha: str = "text_sha1", skip_existing: bool = False) -> DataFrame:
     """incoming with status NEW, CHANGED or SAME against the rows of existing.
 
-    Hashes are compared; where the old row has none, texts are.
+    Hashes are compared; where the old row has none, that of its text is made.
     """
-    old = existing.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(sha).alias("_sha"))
+    hashed = F.coalesce(F.col(sha), F.lit("")) != ""  # only hashes of old texts are shuffled
+    old = existing.select(F.col(key).alias("_key"), F.when(hashed, F.col(sha)).otherwise(F.sha1(F.col(text).cast("string"))).alias("_sha"), hashed.alias("_hashed"))
     joined = incoming.join(old, F.col(key) == F.col("_key"), "left")
-    same = F.when(F.coalesce("_sha", F.lit("")) == "", F.col("_text").eqNullSafe(F.col(text))).otherwise(F.col("_sha") == F.sha1(F.coalesce(F.col(text), F.lit(""))))
+    same = F.when(F.col("_hashed"), F.col("_sha") == F.sha1(F.coalesce(F.col(text), F.lit("")))).otherwise(F.col("_sha").eqNullSafe(F.sha1(F.col(text))))
     status = F.when(F.col("_key").isNull(), "NEW").when(F.lit(skip_existing) | same, "SAME").otherwise("CHANGED")
-    return joined.withColumn("status", status).drop("_key", "_text", "_sha")
+    return joined.withColumn("status", status).drop("_key", "_sha", "_hashed")
 
 
 POLICIES = ("set", "set_on_insert", "add_to_set", "max")

@@ -368,14 +368,14 @@ def _latin_sql() -> str:
 
 
 @query(f"""
-with b as (select doc_id, source, lower(substr(text, 1, 200)) as b from documents), s as (select doc_id, {_latin_sql()} from b),
+with b as (select doc_id, source, lower(text) as b from documents), s as (select doc_id, {_latin_sql()} from b),
 u as (select doc_id, unnest(['law', 'lease', 'nda', 'sale']) as k, unnest([law, lease, nda, sale]) as s from s),
 r as (select *, row_number() over (partition by doc_id order by s desc, k) as r, lead(s) over (partition by doc_id order by s desc, k) as nxt from u)
 select doc_id, case when s >= 3 and s - nxt >= 1 then k else 'uncertain' end as label, s as best from r where r = 1
 """)
 def keyword_classify(spark, sf):
     d = table(spark, sf, "documents")
-    got = extract.classify(d, _LATIN, "source", "text", chars=200, gates={})
+    got = extract.classify(d, _LATIN, "source", "text", chars=None, gates={})
     return got.select("doc_id", "label", F.array_max(F.map_values("scores")).alias("best"))
 
 

@@ -15,24 +15,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _outermost(paths: list[str]) -> list[str]:
+    """The paths without repeats and without those below another one."""
+    own = sorted({p.rstrip("/") for p in paths})
+    return [p for p in own if not any(p.startswith(f"{q}/") for q in own)]
+
+
 def json_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
-    """Rows of JSON-lines files; a broken line is an error, blank lines are none."""
+    """Rows of JSON-lines files, each file once; a broken line is an error, blank lines are none."""
     r = spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", recursive)
-    return (r.option("pathGlobFilter", pattern) if pattern else r).json(sorted(set([paths] if isinstance(paths, str) else paths)))
+    return (r.option("pathGlobFilter", pattern) if pattern else r).json(_outermost([paths] if isinstance(paths, str) else paths))
 
 
 def json_any(spark: SparkSession, path: str, schema: T.StructType | str, envelope: str | None = None) -> DataFrame:
-    """One whole JSON document or JSON lines; with an envelope, what its field holds."""
+    """Rows of files that are each one JSON document, an array of such, or JSON lines.
+
+    With an envelope, what its field holds, be it one row or an array; a document without that
+    field is taken as it stands.
+    """
+    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    kind = ddl if ddl.startswith("struct<") else f"struct<{ddl}>"
+    value = F.col("value")
+    lines = F.filter(F.split(value, "\n"), lambda x: F.trim(x) != "")
     whole = spark.read.text(path, wholetext=True)
-    parsed = F.from_json("value", schema if envelope is None else f"struct<{envelope}:{schema if isinstance(schema, str) else schema.simpleString()}>")
-    return whole.select(parsed.alias("v")).select("v.*") if envelope is None else whole.select(parsed[envelope].alias("v")).select("v.*")
+    by_line = (F.size(lines) > 1) & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull())  # each by itself
+    each = whole.select(F.explode(F.when(by_line, lines).otherwise(F.array(value))).alias("v"))
+    if envelope is not None:
+        each = each.select(F.coalesce(F.get_json_object("v", f"$.{envelope}"), F.col("v")).alias("v"))
+    several = F.from_json("v", f"array<{kind}>")
+    rows = F.when(F.ltrim("v").startswith("["), several).otherwise(F.array(F.from_json("v", kind)))
+    return each.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def texts(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """(path, name, size, text) of whole text files below a folder, lock files left out."""
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
-    m = found.select(F.col("value").alias("text"), "_metadata.file_path", "_metadata.file_name", "_metadata.file_size")
-    return m.where(~F.col("file_name").startswith("~$")).select(F.col("file_path").alias("path"), F.col("file_name").alias("name"), F.col("file_size").alias("size"), "text")
+    """(path, name, size, text) of whole text files below a folder, decoded, lock files left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    files = files.where(~F.col("path").rlike(r"/~\$[^/]*$")).select("path", F.regexp_extract("path", "[^/]+$", 0).alias("name"), F.col("length").alias("size"), "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([decode(x.as_py()) for x in b.column(3)], pa.string())], names=["path", "name", "size", "text"])
+
+    return files.mapInArrow(run, "path string, name string, size long, text string")
 
 
 def ids(spark: SparkSession, path: str) -> DataFrame:

@@ -182,3 +182,34 @@ def test_entry_imports_without_the_subpackage(tmp_path):
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, capture_output=True, text=True, timeout=120, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     n, m = map(int, said.stdout.split())
     assert n >= 80 and m >= 75 and not any(k.startswith("op1_") for k in said.stdout.split())
+
+
+def test_json_shapes_and_encodings(spark, tmp_path):
+    from quillmill.sources import readers
+
+    (tmp_path / "a.json").write_text('{"a": 1}\n\n{"a": 2}\n{"a": 3}\n')
+    (tmp_path / "b.json").write_text('[\n {"a": 4},\n {"a": 5}]')
+    (tmp_path / "c.json").write_text('{\n "a": 6}')
+    (tmp_path / "d.json").write_text('{"code": 0, "data": [{"a": 7}, {"a": 8}]}')
+    read = lambda name, **how: sorted(r.a for r in readers.json_any(spark, f"{tmp_path}/{name}.json", "a int", **how).collect())
+    assert (read("a"), read("b"), read("c"), read("d", envelope="data"), read("c", envelope="data")) == ([1, 2, 3], [4, 5], [6], [7, 8], [6])
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/x.txt").write_bytes("中文".encode("gb18030"))
+    (tmp_path / "t/y.txt").write_bytes("é".encode())
+    (tmp_path / "t/~$z.txt").write_bytes(b"no")
+    assert sorted(r.text for r in readers.texts(spark, f"{tmp_path}/t").collect()) == ["é", "中文"]
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l/x.jsonl").write_text('{"a": 1}\n')
+    assert readers.json_lines(spark, [f"{tmp_path}/l", f"{tmp_path}/l/x.jsonl", f"{tmp_path}/l/"], "a int").count() == 1
+
+
+def test_long_ranges_and_short_names_are_whole(spark):
+    from pyspark.sql import functions as F
+
+    from quillmill.functions.numerals import expand_articles
+    from quillmill.operators import link
+
+    row = spark.range(1).select(F.size(expand_articles(F.lit("第一条至第二万条"))).alias("n")).first()
+    assert row.n == 20_000
+    t = spark.createDataFrame([("t", "某法", None, "1")], "chunk_id string, law_name string, law_alias array<string>, article_no string")
+    assert {r.key for r in link.target_keys(t).collect()} == {"某法", "法"}
