@@ -15,9 +15,9 @@ def doc_records(spark, sf):
     return records.doc_records(table(spark, sf, "conversations"), ["role", "text"], key="conv_id", order="turn")
 
 
-@query("select p_partkey, p_type from part where regexp_matches(p_type, '(BRASS|STEEL)$')")
+@query("select p_partkey, p_type from part where regexp_matches(p_type, '(MO|MY)$')")
 def kind_filter(spark, sf):
-    return records.of_kind(table(spark, sf, "part"), "(BRASS|STEEL)$", "p_type").select("p_partkey", "p_type")
+    return records.of_kind(table(spark, sf, "part"), "(MO|MY)$", "p_type").select("p_partkey", "p_type")
 
 
 @query("""
