@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded, materialise
+from .components import connected_components
 
 #: Weight of a group above which it is cut into parts that are compared pair by pair.
 CHUNK = 1024
@@ -47,6 +48,7 @@ Rough = Callable[[list], Callable[[int, np.ndarray], np.ndarray]]
 ROUGH = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("node", pa.int64()), ("parent", pa.int64())])
 #: Blocks up to SMALL nodes with up to SPARSE pairs a node that sketches allow are left as pairs.
 SMALL, SPARSE = 512, 32
+FIRST, LATER = 0, 1
 
 
 def _allowed(n: int, near: Callable[[int, np.ndarray], np.ndarray], roots: np.ndarray) -> list[tuple[int, int]] | None:
@@ -76,10 +78,27 @@ def _trees(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[
     return top, parent
 
 
+def _spanning(pairs: list[tuple[int, int]], roots: np.ndarray) -> Iterator[bool]:
+    """For each pair whether it joins what the roots and the pairs before it leave apart."""
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while top.get(x, x) != x:
+            top[x] = top.get(top[x], top[x])
+            x = top[x]
+        return x
+
+    for i, j in pairs:
+        a, b = find(int(roots[i])), find(int(roots[j]))
+        yield a != b
+        top[b] = a
+
+
 def _rough_batches(rough: Rough):
     """Over rows (key, block, node, root, sketch): (key, block, node, parent) of what sketches allow.
 
-    Of a block with few allowed pairs, these, without key.  Of another the trees that allowed pairs
+    Of a block with few allowed pairs, these, without key; block is FIRST for those that span its
+    nodes and LATER for the others.  Of another the trees that allowed pairs
     make, each a block named by its least node; parent is the node that a node hangs on, if that
     has another root.
     """
@@ -91,7 +110,7 @@ def _rough_batches(rough: Rough):
             near, n, roots = rough([r[4].as_py() for r in own]), len(own), np.array([r[3] for r in own])
             pairs = _allowed(n, near, roots) if n <= SMALL else None
             if pairs is not None:
-                out += [(None, None, own[j][2], own[i][2]) for i, j in pairs]
+                out += [(None, FIRST if new else LATER, own[j][2], own[i][2]) for (i, j), new in zip(pairs, _spanning(pairs, roots))]
             else:
                 top, parent = _trees(n, near)
                 trees: dict[int, list[int]] = {}
@@ -143,8 +162,8 @@ def verified_links(keyed: DataFrame, contents: Callable[[DataFrame], DataFrame],
     looked at once.  The nodes of a group above chunk are dealt by hash into parts, and every two
     parts are compared in a block of their own; nothing is capped.  If there are sketches (node,
     sketch), rough, which must allow all pairs that forest joins, takes blocks apart by these.  Of
-    blocks with few allowed pairs these are verified, each once; of others the edges of trees, and
-    only those with an edge that fails are compared in full, so that contents are fetched for few
+    blocks with few allowed pairs those that span the block are verified, each once, and of the
+    others those whose ends these leave apart; of other blocks the edges of trees, and only those with an edge that fails are compared in full, so that contents are fetched for few
     rows.
     """
     h = F.xxhash64("node")
@@ -160,8 +179,15 @@ def verified_links(keyed: DataFrame, contents: Callable[[DataFrame], DataFrame],
         return _block_links(materialise(members.select("key", "block", "node")), contents, forest)
     sketched = members.join(sketches, "node").select("key", "block", "node", "root", "sketch")
     trees = materialise(dealt(sketched).mapInArrow(_rough_batches(rough), "key long, block long, node long, parent long"))
-    edges = trees.where("parent is not null").select(F.col("parent").alias("u"), F.col("node").alias("v")).distinct()
-    good = materialise(_star_links(edges, contents, forest, chunk))
+    edge = [F.col("parent").alias("u"), F.col("node").alias("v")]
+    first = materialise(_star_links(trees.where(f"parent is not null and (key is not null or block = {FIRST})").select(*edge).distinct(), contents, forest, chunk))
+    known = keyed.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).distinct()
+    top = materialise(connected_components(first.unionByName(known)))
+    later = trees.where(f"key is null and block = {LATER}").select(*edge).distinct()
+    for end in "uv":
+        later = later.join(top.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    apart = materialise(later.where("coalesce(u_root, u) <> coalesce(v_root, v)").select("u", "v"))
+    good = materialise(first.unionByName(_star_links(apart, contents, forest, chunk)))
     failed = trees.where("parent is not null and key is not null").join(good, (F.col("parent") == F.col("u")) & (F.col("node") == F.col("v")), "left_anti").select("key", "block").distinct()
     rest = materialise(trees.join(failed, ["key", "block"], "left_semi").select("key", "block", "node"))
     sets = rest.groupBy("key", "block").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftrightunsigned(h, 34)).alias("s"))

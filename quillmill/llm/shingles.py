@@ -25,8 +25,8 @@ WORDS = 5
 LIKE = (4, 5)
 #: Common shingles are sought among so many texts, for the order only; so many are told apart.
 ORDER_TEXTS, ORDER_LEAST, ORDER_MOST = 4_000, 6, 50_000
-#: Cells of a sketch.
-CELLS = 256
+#: The fewest cells of a sketch, and the count that stands for itself and all above.
+CELLS, FULL = 256, 15
 #: The rows of a common shingle are spread over so many tasks.
 SALT = 256
 #: Bytes of text that count as one row more in a group.
@@ -83,19 +83,41 @@ def forest(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def sketch(own: np.ndarray) -> bytes:
-    """How many shingles fall to each of CELLS cells, by hash, up to 255; then how many there are."""
-    return np.minimum(np.bincount(own & (CELLS - 1), minlength=CELLS), 255).astype(np.uint8).tobytes() + len(own).to_bytes(4, "little")
+    """How many shingles fall to each cell, by hash, in four bits up to 15; then how many there are.
+
+    The number of cells is a power of two that grows with the text, one or two shingles to a cell,
+    so that long texts are told apart as well as short ones.
+    """
+    cells = max(CELLS, 1 << max(len(own).bit_length() - 1, 0))
+    counts = np.minimum(np.bincount(own & (cells - 1), minlength=cells), FULL).astype(np.uint8)
+    return (counts[::2] | counts[1::2] << 4).tobytes() + len(own).to_bytes(4, "little")
 
 
 def rough(sketches: list[bytes]) -> Callable[[int, np.ndarray], np.ndarray]:
-    """Which of some others may be alike to one: no two sets share more than the lesser counts of all cells."""
-    flat = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, CELLS + 4)
-    cells, size = flat[:, :CELLS], np.ascontiguousarray(flat[:, CELLS:]).view(np.uint32)[:, 0].astype(np.int64)
-    full = (cells == 255).any(1)
+    """Which of some others may be alike to one: no two sets share more than the lesser counts of all cells.
+
+    Of two sketches the one with more cells is folded to the cells of the other.
+    """
+    size = np.array([int.from_bytes(s[-4:], "little") for s in sketches], np.int64)
+    width = np.array([2 * (len(s) - 4) for s in sketches], np.int64)
+    place, full, cells = np.zeros(len(sketches), np.int64), np.zeros(len(sketches), bool), {}
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        packed = np.frombuffer(b"".join([sketches[i][:-4] for i in at.tolist()]), np.uint8).reshape(len(at), -1)
+        cells[w] = np.stack([packed & 15, packed >> 4], 2).reshape(len(at), w)
+        place[at], full[at] = np.arange(len(at)), (cells[w] == FULL).any(1)
 
     def near(q: int, others: np.ndarray) -> np.ndarray:
         least = np.minimum(size[others], size[q])
-        both = np.where(full[others] | full[q], least, np.minimum(cells[others], cells[q]).sum(1, dtype=np.int64))
+        vague = full[others] | full[q]
+        both = np.where(vague, least, 0)
+        can = np.flatnonzero(~vague & (least * LIKE[1] >= LIKE[0] * np.maximum(size[others], size[q])))
+        wide = width[others[can]]
+        for w in np.unique(wide).tolist():
+            at, m = can[wide == w], min(w, int(width[q]))
+            one = cells[int(width[q])][place[q]].reshape(-1, m).sum(0, dtype=np.uint16)
+            rest = cells[w][place[others[at]]].reshape(len(at), -1, m).sum(1, dtype=np.uint16)
+            both[at] = np.minimum(one, rest).sum(1, dtype=np.int64)
         return both * LIKE[1] >= LIKE[0] * (size[q] + size[others] - both)
 
     return near

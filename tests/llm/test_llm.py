@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillmill.llm import boosting, chatformat, editembed, htmltext, langid, linefreq, mixing, packing, pii, shingles, simhash, weaklabel
+from quillmill.llm.buckets import verified_links
 from quillmill.llm.components import connected_components
 from quillmill.llm.registry import ORACLES, QUERIES
 
@@ -161,6 +162,21 @@ def test_shingle_links_match_brute_force(spark, monkeypatch, chunk):
         assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == set(want)
 
 
+def test_pairs_beside_the_spanning_ones_are_verified(spark):
+    """Where sketches allow all pairs, those that span a block may all fail, and others hold."""
+    content = {1: "a", 2: "b", 3: "c", 4: "b", 5: "c", 6: "b"}
+    keyed = spark.createDataFrame([(7, n, 1, n) for n in content], "key long, node long, weight int, root long")
+    texts = spark.createDataFrame(list(content.items()), "node long, content string")
+    sketches = spark.createDataFrame([(n, b"") for n in content], "node long, sketch binary")
+
+    def forest(found):
+        yield from ((found.index(x), i) for i, x in enumerate(found) if found.index(x) < i)
+
+    links = verified_links(keyed, lambda nodes: texts.join(nodes, "node"), forest, 1024, sketches, lambda _: lambda q, others: np.ones(len(others), bool))
+    roots = {r.node: r.root for r in connected_components(links).collect()}
+    assert roots == {2: 2, 4: 2, 6: 2, 3: 3, 5: 3}
+
+
 def test_sketches_allow_all_that_is_alike():
     rng = np.random.default_rng(24)
     for _ in range(300):
@@ -168,8 +184,9 @@ def test_sketches_allow_all_that_is_alike():
         b = np.unique(np.r_[a[rng.random(len(a)) < rng.uniform(0.7, 1)], rng.integers(0, 1 << 62, int(len(a) * rng.uniform(0, 0.2)))])
         if len(b) and shingles.alike(a, b):
             assert shingles.rough([shingles.sketch(a), shingles.sketch(b)])(0, np.array([1]))[0]
-    a, b = (np.unique(rng.integers(0, 1 << 62, 300)) for _ in range(2))
-    assert not shingles.rough([shingles.sketch(a), shingles.sketch(b)])(0, np.array([1]))[0]
+    for n in (300, 20_000):
+        a, b = (np.unique(rng.integers(0, 1 << 62, n)) for _ in range(2))
+        assert not shingles.rough([shingles.sketch(a), shingles.sketch(b)])(0, np.array([1]))[0]
 
 
 def test_different_texts_of_one_id_are_different_documents(spark):
