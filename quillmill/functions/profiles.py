@@ -339,3 +339,60 @@ CONTRACT_FOLDERS = ("buy_sell", "lease", "labor", "nda", "outsourcing", "softwar
 CATEGORIES = ("刑事", "民事", "行政", "执行", "国家赔偿")
 KIND_SAYS = (("赔偿", "国家赔偿"), ("执行", "执行"), ("行政", "行政"), ("民事", "民事"))
 HEAD_SAYS = (("执行", "执行"), ("国家赔偿|赔偿决定书", "国家赔偿"), ("行政", "行政"), ("刑事", "刑事"))
+
+# --- fixed values: courts named in the head of a judgment ---
+
+COURT = r"[\x{4e00}-\x{9fa5}]{2,40}人民法院(赔偿委员会)?"
+COMMITTEE = "赔偿委员会"
+KINDS_OF_JUDGMENT = "判决书|裁定书|决定书|调解书"
+NARRATIVE_STARTS = "请求|撤销|维持|依照|依据|判处|决定|裁定|驳回|公告"
+#: Last line, counted from 0, and the points that a court in it is ahead by; beyond, COURT_LATE.
+COURT_EARLY = ((5, 20), (10, 15), (20, 8))
+COURT_LATE = 3
+
+# --- fixed values: parties and their counsel ---
+
+PARTY_CALLED = "被告人|被告|原告|被上诉人|上诉人|申请人|被申请人|再审申请人|申请执行人|被执行人|第三人|申诉人|被申诉人|赔偿请求人"
+#: What a sentence on a party says of it: patterns, of which the first that matches gives its group.
+GENDER = (r"，\s*(男|女)\s*，", "(男|女)[，、]", "(男|女)$")
+BORN = (r"([0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日)\s*出生", r"生于\s*([0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日)")
+LIVES = ("(?:住址|户籍所在地|户籍地|住所地|所在地|住所|住)[:：]?([^，。；]+)",)
+CONVICTED = "因?犯[^\n。；]*?于[0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日[^\n。；]*?判处"
+HELD = "于([0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日)[^。；]*?(拘留|逮捕|羁押)"
+HELD_AS = {"拘留": "detained", "逮捕": "arrested", "羁押": "custody"}
+PROCURATORATE = r"公诉机关(?:[:：]\s*)?([^\n。；]+?检察院)"
+PROSECUTORS = r"检察员(?:[:：]?\s*)([\x{4e00}-\x{9fa5}·、，和以及 ]+?)(?:出庭|到庭|出席|参加)"
+COUNSEL = r"(?:指定)?(?:辩护人|辩护律师|委托诉讼代理人|委托代理人|诉讼代理人)\s*[:：]\s*([^\n。；]+)"
+FIRM = "律师事务所|法律援助|律师$"
+CONFISCATED = r"(?:违法所得)?(?:人民币)?\s*([〇零一二两三四五六七八九十百千万亿0-9]+)\s*元[^，。；]*?(?:追缴|没收)"
+SERVED = "从([0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日)起至([0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日)止"
+
+# --- fixed values: sections inside the case number's and the parties' ---
+
+CASE_SECTION, PARTY_SECTION, COURSE_SECTION = "案号行", "当事人信息", "审理经过"
+COURSE = "本院于|受理后|依法组成合议庭|公开开庭审理|本案现已审理终结|原审法院.{0,12}作出[（(][0-9]{4}[）)]"
+EMBEDDED_SECTIONS = (
+    ("审理经过", "本院于|受理后|依法组成合议庭|公开开庭审理|本案现已审理终结|审理经过"),
+    ("原审情况", "(?:原审法院|一审法院).{0,30}(?:判决|裁定|决定)"),
+    ("诉讼请求", "(?:诉讼请求|上诉请求|反诉请求)[:：]?"),
+    ("答辩意见", "(?:答辩|辩称|抗辩|意见)[:：]"),
+    ("诉辩主张", "事实[与和]理由"),
+    ("赔偿请求", "赔偿请求|申请赔偿事项"),
+    ("赔偿决定依据", "赔偿数额计算|赔偿项目|赔偿决定理由"),
+    ("被诉行政行为", "被诉(?:行政)?行为"),
+    ("复议决定", "复议(?:决定|情况|结论)"),
+    ("起诉书指控", "起诉书指控|公诉机关指控|检察机关指控"),
+    ("被告人辩解与辩护意见", "被告人(?:供述与)?辩解|辩护意见"),
+    ("证据", "证据|证人证言|鉴定意见|勘验检查笔录|辨认笔录|电子数据"),
+    ("查明", "经审理查明|本院查明|案件基本事实|查明事实"),
+    ("一审查明", "(?:一审法院|原审法院)(?:认定事实|查明)"),
+    ("一审认", "一审法院认为|原审法院认为"),
+    ("理由", "本院(?:经审理|经审查)?认为|法院认为|合议庭认为|本院意见|判决理由"),
+    ("主文", "裁判主文|判决如下|裁定如下|决定如下"),
+    ("依据", "^(?:依照|根据)"),
+)
+#: Sections that a criminal judgment's record is read from.
+INTRO_SECTIONS = ("开头", "案号行", "当事人信息", "审理经过")
+DEFENCE_SECTIONS = ("被告人辩解与辩护意见", "辩护意见")
+OPINION_SECTIONS = ("理由", "本院认为")
+HOLDING_SECTIONS = ("主文", "结果", "判决结果", "尾部")

@@ -235,7 +235,7 @@ def defendants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def dispositions(docs: DataFrame, accused: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, name, offence, term, months, fine, probation, offset): what the verdict gives each accused.
+    """(id, name, offence, term, months, fine, confiscation, term_start, term_end, probation, offset): what the verdict gives each accused.
 
     Items begin with 一、; one goes to the accused that it names, or to the only one.  Later items
     win, probation and offset hold once said.
@@ -250,9 +250,11 @@ def dispositions(docs: DataFrame, accused: DataFrame, id_col: str = "doc_id", te
     timed = F.regexp_extract(s, r"(?:有期徒刑|拘役|管制)([〇零一二两三四五六七八九十百千0-9年个月日\s]+)", 1)
     term = F.when(strip(timed) != "", strip(timed)).when(s.contains("无期徒刑"), "无期徒刑").when(s.contains("死刑缓期"), "死刑缓期二年执行").when(s.contains("死刑"), "死刑")
     fine = cn_amount(F.regexp_extract(s, r"罚金(?:人民币)?\s*([〇零一二两三四五六七八九十百千万亿0-9]+)\s*元", 1))
-    rows = hits.select(id_col, "name", "i", F.nullif(offence, F.lit("")).alias("offence"), term.alias("term"), term_months(term).alias("months"), fine.alias("fine"), s.contains("缓刑").alias("probation"), s.contains("折抵刑期").alias("offset"))
+    taken = cn_amount(F.regexp_extract(s, profiles.CONFISCATED, 1))
+    start, end = (cn_date(F.regexp_extract(s, profiles.SERVED, i)) for i in (1, 2))
+    rows = hits.select(id_col, "name", "i", F.nullif(offence, F.lit("")).alias("offence"), term.alias("term"), term_months(term).alias("months"), fine.alias("fine"), taken.alias("confiscation"), start.alias("term_start"), end.alias("term_end"), s.contains("缓刑").alias("probation"), s.contains("折抵刑期").alias("offset"))
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("i"))).alias(c)
-    return rows.groupBy(id_col, "name").agg(*map(last, ("offence", "term", "months", "fine")), F.max("probation").alias("probation"), F.max("offset").alias("offset"))
+    return rows.groupBy(id_col, "name").agg(*map(last, ("offence", "term", "months", "fine", "confiscation", "term_start", "term_end")), F.max("probation").alias("probation"), F.max("offset").alias("offset"))
 
 
 def factors(docs: DataFrame, accused: DataFrame, id_col: str = "doc_id", text_col: str = "opinion") -> DataFrame:

@@ -213,3 +213,26 @@ def test_long_ranges_and_short_names_are_whole(spark):
     assert row.n == 20_000
     t = spark.createDataFrame([("t", "某法", None, "1")], "chunk_id string, law_name string, law_alias array<string>, article_no string")
     assert {r.key for r in link.target_keys(t).collect()} == {"某法", "法"}
+
+
+def test_refined_sections_keep_every_line_in_order():
+    import random
+
+    from quillmill.operators.judgment import refined
+
+    lines = ["（2023）川01民初12号", "原告：张三，男。", "被告：李四。", "本院于三月受理后", "诉讼请求：", "返还一百元。", "", "本院认为", "执行", "第三人请求", "民事判决书", "依照《民法典》"]
+    rng = random.Random(5)
+    for _ in range(400):
+        body = "\n".join(rng.choices(lines, k=rng.randint(0, 9)))
+        for name in ("案号行", "当事人信息", "理由"):
+            parts = refined(name, body)
+            assert "".join("".join(t.split()) for _, t in parts) == "".join(body.split())
+            assert all(t == t.strip() and t for _, t in parts)
+
+
+def test_parties_merge_what_can_be_one_person():
+    from quillmill.operators.judgment import party_list
+
+    found = party_list("被告人张某，男，住甲村。\n被告人张某，因犯盗窃罪于2010年3月4日被判处。被告人张某，女。\n被告张某，男。\n" + "被告人张某，男。\n" * 3)
+    assert [(p["name"], p["role"], p["gender"], len(p["prior_convictions"])) for p in found] == [("张某", "被告人", "男", 1), ("张某", "被告人", "女", 0), ("张某", "被告", "男", 0)]
+    assert party_list("") == [] and party_list("本院认为。") == []

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from quillmill.operators import vector
-from quillmill.plans import files, fixtures, records, tables  # noqa: F401
+from quillmill.plans import files, fixtures, judgments, records, tables  # noqa: F401
 from quillmill.plans.registry import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
