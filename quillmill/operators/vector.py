@@ -7,8 +7,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .blocks import BLOCK, blocks, united
 
@@ -50,21 +52,103 @@ def norm(v: Column) -> Column:
     return F.sqrt(inner_product(v, v))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 8, where: Column | None = None, digits: int = 6, block: int = BLOCK) -> DataFrame:
+#: Vectors in a pack, numbers in a pack unless one vector has more, and queries that are broadcast in one go: 64 packs, 32 MB.
+PACK, NUMBERS, QUERIES = 1024, 65_536, 65_536
+
+
+def _packs(rows: DataFrame, ids: str, vector: str, cells: Column) -> DataFrame:
+    """(key, ids, m, n, cells): vectors of one length and one choice of cells, at most PACK in a row, as a matrix of doubles.
+
+    Vectors that are null or hold a null are in no pack.
+    """
+    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())
+    own = rows.where(whole & F.col(ids).isNotNull()).select(F.col(ids).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), cells.cast("array<int>").alias("cells"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, chosen = b.column(1).value_lengths().to_pylist(), b.column(2).to_pylist()
+            groups: dict[tuple, list[int]] = {}
+            for i, kind in enumerate(zip(sizes, map(tuple, chosen))):
+                groups.setdefault(kind, []).append(i)
+            for (length, cells_), at in groups.items():
+                size = min(PACK, max(1, NUMBERS // max(length, 1)))
+                for lo in range(0, len(at), size):
+                    part = b.take(pa.array(at[lo : lo + size]))
+                    n, m = part.num_rows, part.column(1).flatten().to_numpy(zero_copy_only=False).tobytes()
+                    key = hashlib.blake2b(m + repr(part.column(0).to_pylist()).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+                    yield pa.RecordBatch.from_arrays([pa.array([key]), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column(0)), pa.array([m], pa.binary()), pa.array([n], pa.int32()), pa.array([cells_], pa.list_(pa.int32()))], names=["key", "ids", "m", "n", "cells"])
+
+    kind = T.StructType([T.StructField("key", T.StringType()), T.StructField("ids", T.ArrayType(own.schema["id"].dataType)), T.StructField("m", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    return own.mapInArrow(run, kind)
+
+
+class _Best:
+    """The k best of each query so far; ties go to the lesser id."""
+
+    def __init__(self, n: int, k: int):
+        self.n, self.k, self.least = n, k, np.full(n, -np.inf)
+        self.q, self.s, self.v = np.zeros(0, np.int64), np.zeros(0), None
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        """scores has a row for each query and a column for each id."""
+        least = self.least
+        if scores.shape[1] > self.k:
+            least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        q, i = np.nonzero(scores >= least[:, None])
+        v = ids[i] if self.v is None else np.concatenate([self.v, ids[i]])
+        q, s = np.concatenate([self.q, q]), np.concatenate([self.s, scores[q, i]])
+        order = np.lexsort((np.unique(v, return_inverse=True)[1], -s, q))
+        order = order[np.arange(len(q)) - np.searchsorted(q[order], q[order]) < self.k]
+        self.q, self.s, self.v = q[order], s[order], v[order]
+        counts = np.bincount(self.q, minlength=self.n)
+        full = counts == self.k
+        self.least[full] = self.s[np.cumsum(counts)[full] - 1]
+
+
+def _best_pairs(vectors: DataFrame, queries: DataFrame, k: int, digits: int, block: int) -> DataFrame:
+    """(query_id, vec_id, score, rank) of packed sides; a query is held against the vectors of cells that it names.
+
+    A task multiplies matrices and hands on k rows a query, whatever its vectors are.
+    """
+    kinds = [T.StructField(n, d.schema["ids"].dataType.elementType) for n, d in (("query_id", queries), ("vec_id", vectors))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, _Best] = {}
+        names: dict[str, pa.Array] = {}
+        vec_type = None
+        for b in batches:
+            vec_type = b.column("v_ids").type.value_type
+            for r in range(b.num_rows):
+                of = lambda c, r=r: b.column(c)[r]
+                nq, nv, key = of("n").as_py(), of("v_n").as_py(), of("key").as_py()
+                q, v = (np.frombuffer(of(c).as_py(), np.float64).reshape(n, -1) for c, n in (("m", nq), ("v_m", nv)))
+                if q.shape[1] != v.shape[1]:
+                    continue
+                if key not in best:
+                    best[key], names[key] = _Best(nq, k), of("ids").values
+                best[key].add(np.round(q @ v.T, digits) + 0.0, of("v_ids").values.to_numpy(zero_copy_only=False))
+        for key, found in best.items():
+            if len(found.q):
+                yield pa.RecordBatch.from_arrays([names[key].take(pa.array(found.q)), pa.array(found.v, vec_type), pa.array(found.s)], names=["query_id", "vec_id", "score"])
+
+    v = vectors.select(*[F.col(c).alias(f"v_{c}") for c in ("ids", "m", "n", "cells")])
+    shared = (F.size("cells") == 0) | F.arrays_overlap("cells", "v_cells")
+    out = [v.crossJoin(F.broadcast(q)).where(shared).mapInArrow(run, T.StructType([*kinds, T.StructField("score", T.DoubleType())])) for q in blocks(queries, "key", max(1, block // PACK))]
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return united([o.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) for o in out])
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 8, where: Column | None = None, digits: int = 6, block: int = QUERIES) -> DataFrame:
     """(query_id, vec_id, score, rank): the k vectors of the greatest inner product.
 
-    vectors (vec_id, embedding, …) may be filtered first; queries are (query_id, query).  The
-    queries go out in blocks of bounded size, each task keeps its own best k a query, and ties go
-    to the lesser id.
+    vectors (vec_id, embedding, …) may be filtered first; queries are (query_id, query).  Both are
+    packed into matrices; queries go out in blocks of `block`, each task keeps its own best k a
+    query, and ties go to the lesser id.  What is null, holds a null or NaN, or differs in length
+    is not found; an empty side gives no rows.
     """
     v = vectors.where(where) if where is not None else vectors
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = []
-    for q in blocks(queries, "query_id", block):
-        scored = v.select("vec_id", "embedding").crossJoin(F.broadcast(q.select("query_id", "query")))
-        scored = scored.select("query_id", "vec_id", F.round(inner_product(F.col("embedding"), F.col("query")), digits).alias("score"))
-        out.append(scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-    return united(out)
+    none = F.array().cast("array<int>")
+    return _best_pairs(_packs(v, "vec_id", "embedding", none), _packs(queries, "query_id", "query", none), k, digits, block)
 
 
 def centroids(rows: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
@@ -124,8 +208,8 @@ class Inverted:
     def index(self, vectors: DataFrame) -> DataFrame:
         return vectors.withColumn("cell", F.get(self._ranked(F.col("embedding")), F.lit(0)))
 
-    def search(self, indexed: DataFrame, queries: DataFrame, k: int = 8, probes: int = 22, digits: int = 6) -> DataFrame:
+    def search(self, indexed: DataFrame, queries: DataFrame, k: int = 8, probes: int = 22, digits: int = 6, block: int = QUERIES) -> DataFrame:
+        """top_k() among the vectors of the `probes` nearest cells of a query; no cell is shuffled to one task."""
         q = queries.select("query_id", "query", F.explode(F.slice(self._ranked(F.col("query")), 1, probes)).alias("cell"))
-        scored = indexed.join(q, "cell").select("query_id", "vec_id", F.round(inner_product(F.col("embedding"), F.col("query")), digits).alias("score"))
-        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        sides = (_packs(d, i, v, F.array("cell")) for d, i, v in ((indexed, "vec_id", "embedding"), (q, "query_id", "query")))
+        return _best_pairs(*sides, k, digits, block)

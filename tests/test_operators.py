@@ -236,3 +236,24 @@ def test_parties_merge_what_can_be_one_person():
     found = party_list("被告人张某，男，住甲村。\n被告人张某，因犯盗窃罪于2010年3月4日被判处。被告人张某，女。\n被告张某，男。\n" + "被告人张某，男。\n" * 3)
     assert [(p["name"], p["role"], p["gender"], len(p["prior_convictions"])) for p in found] == [("张某", "被告人", "男", 1), ("张某", "被告人", "女", 0), ("张某", "被告", "男", 0)]
     assert party_list("") == [] and party_list("本院认为。") == []
+
+
+def test_top_k_of_ties_nulls_other_lengths_and_empty_sides(spark):
+    v = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.5, 0.5]), ("n", None), ("h", [1.0, None]), ("x", [9.0]), (None, [9.0, 9.0]), ("nan", [float("nan"), 0.0])], "vec_id string, embedding array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [2.0])], "query_id long, query array<double>")
+    got = [tuple(r) for r in vector.top_k(v, q, 2).orderBy("query_id", "rank").collect()]
+    assert got == [(1, "a", 1.0, 1), (1, "b", 1.0, 2), (2, "c", 0.5, 1), (2, "a", 0.0, 2), (4, "x", 18.0, 1)]
+    assert vector.top_k(v.limit(0), q).isEmpty() and vector.top_k(v, q.limit(0)).isEmpty()
+
+
+def test_top_k_matches_brute_force_over_many_packs(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(-3, 4, (3000, 4)).astype(float)  # many ties
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    q = v.where("vec_id % 2 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in vector.top_k(v, q, 3, block=1).collect()}
+    s = x @ x.T
+    want = {(i, n + 1): (int(j), float(s[i, j])) for i in range(0, 3000, 2) for n, j in enumerate(np.lexsort((np.arange(3000), -s[i]))[:3])}
+    assert got == want
