@@ -12,6 +12,10 @@ from ..functions.text import bare_name, law_name, law_title, text
 CITATION = rf"《\s*([^》]+?)\s*》第({NUMERAL}+)条"
 
 
+#: Articles of the longest span that is taken article by article.
+SHORT = 16
+
+
 def citations(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
     """(id, law_raw, article_raw, law_norm, article) for each 《…》第N条 of a text."""
     found = F.arrays_zip(*[F.regexp_extract_all(text(F.col(text_col)), F.lit(CITATION), F.lit(i)).alias(n) for i, n in ((1, "law_raw"), (2, "article_raw"))])
@@ -20,16 +24,36 @@ def citations(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text
 
 
 def target_keys(targets: DataFrame, suffixes: int = 1) -> DataFrame:
-    """(chunk_id, key, article) under which targets are cited.
+    """(chunk_id, key, level, slot, l, r) under which targets are cited for the articles l to r.
 
-    Keys are the name, each suffix of it of at least `suffixes` characters, and the aliases; spans
-    are exploded into their articles, so that a range match becomes an equi-join.
+    Keys are the name, each suffix of it of at least `suffixes` characters, and the aliases.  A span
+    lies in slots of 2**level articles: up to SHORT articles in one slot each, a longer one in two
+    slots at most, however long it is; so a range match becomes an equi-join on key, level and slot.
     """
     t = targets.select("chunk_id", law_name(F.col("law_name"), deep=False).alias("name"), F.transform(F.coalesce("law_alias", F.array().cast("array<string>")), lambda a: law_name(a, deep=False)).alias("aliases"), span_bounds(F.col("article_no")).alias("s"))
     ends = F.when(F.length("name") >= suffixes, F.transform(F.sequence(F.lit(1), F.length("name") - suffixes + 1), lambda i: F.substring(F.col("name"), i, F.length("name")))).otherwise(F.array("name"))
     keys = F.filter(F.array_distinct(F.concat(ends, "aliases")), lambda k: k != "")
     exploded = t.where("s.l is not null and s.l <= s.r").select("chunk_id", F.explode(keys).alias("key"), "s")
-    return exploded.select("chunk_id", "key", F.explode(F.sequence("s.l", "s.r")).alias("article"))
+    far = F.col("s.r") - F.col("s.l")
+    level = F.when(far < SHORT, 0).otherwise(F.length(F.bin(far)))
+    spans = exploded.select("chunk_id", "key", level.alias("level"), "s.l", "s.r")
+    return spans.select("*", F.explode(F.sequence(_slot("l", "level"), _slot("r", "level"))).alias("slot"))
+
+
+def _slot(article: str, level: str) -> Column:
+    return F.call_function("shiftright", F.col(article), F.col(level))
+
+
+def matched(pairs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(law_norm, article, chunk_id): the targets of each distinct pair of a name and an article.
+
+    A pair looks into the levels that spans of the targets have, 64 at most, mostly one.
+    """
+    levels = [r[0] for r in keys.select("level").distinct().collect()]  # lengths of numbers in bits
+    asked = pairs.select("law_norm", "article").distinct().withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    asked = asked.withColumn("slot", _slot("article", "level"))
+    on = (asked["law_norm"] == keys["key"]) & (asked["level"] == keys["level"]) & (asked["slot"] == keys["slot"]) & asked["article"].between(keys["l"], keys["r"])
+    return asked.join(keys, on).select("law_norm", "article", "chunk_id").distinct()
 
 
 def cite_edges(cited: DataFrame, targets: DataFrame, id_col: str = "chunk_id", types: tuple[str, ...] = profiles.TARGET_TYPES) -> tuple[DataFrame, DataFrame]:
@@ -38,11 +62,10 @@ def cite_edges(cited: DataFrame, targets: DataFrame, id_col: str = "chunk_id", t
     A target answers to its name, to an end of it and to its aliases, for articles within its
     span.
     """
-    keys = target_keys(targets.where(F.col("doc_type").isin(*types))).withColumnRenamed("chunk_id", "to_chunk")
     c = cited.where("law_norm <> ''").withColumnRenamed(id_col, "from_chunk")
-    on = (c["law_norm"] == keys["key"]) & (c["article"] == keys["article"])
-    edges = c.join(keys, on).select("from_chunk", "to_chunk", F.lit("cites").alias("edge")).distinct()
-    return edges, c.join(keys, on, "left_anti")
+    hits = matched(c, target_keys(targets.where(F.col("doc_type").isin(*types)))).withColumnRenamed("chunk_id", "to_chunk")
+    edges = c.join(hits, ["law_norm", "article"]).select("from_chunk", "to_chunk", F.lit("cites").alias("edge")).distinct()
+    return edges, c.join(hits, ["law_norm", "article"], "left_anti").select(*c.columns)
 
 
 def top_misses(missed: DataFrame, k: int = 20, by: str = "law_norm") -> DataFrame:

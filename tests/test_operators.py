@@ -257,3 +257,19 @@ def test_top_k_matches_brute_force_over_many_packs(spark):
     s = x @ x.T
     want = {(i, n + 1): (int(j), float(s[i, j])) for i in range(0, 3000, 2) for n, j in enumerate(np.lexsort((np.arange(3000), -s[i]))[:3])}
     assert got == want
+
+
+def test_spans_of_any_length_match_their_articles(spark):
+    from quillmill.operators import link
+
+    spans = [("a", "1~3"), ("b", "第5条~第2000000000条"), ("c", "100~116"), ("d", "7"), ("e", "9~8"), ("f", None), ("g", "31~64")]
+    targets = spark.createDataFrame([(i, "statute", "甲法", None, s) for i, s in spans], "chunk_id string, doc_type string, law_name string, law_alias array<string>, article_no string")
+    asked = [*range(0, 130), 1_999_999_999, 2_000_000_000, 2_000_000_001]
+    cited = spark.createDataFrame([(f"q{n}", "甲法", n) for n in asked] * 2, "chunk_id string, law_norm string, article long")
+    edges, missed = link.cite_edges(cited, targets)
+    bounds = {"a": (1, 3), "b": (5, 2_000_000_000), "c": (100, 116), "d": (7, 7), "g": (31, 64)}
+    want = {(f"q{n}", t) for n in asked for t, (lo, hi) in bounds.items() if lo <= n <= hi}
+    found = [(r.from_chunk, r.to_chunk) for r in edges.collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert sorted(r.article for r in missed.collect()) == [0, 0, 4, 4, 2_000_000_001, 2_000_000_001]
+    assert link.cite_edges(cited, targets.limit(0))[0].isEmpty()
