@@ -78,6 +78,29 @@ class Paced:
         raise AssertionError
 
 
+def first_json(modes: list[Completer], waits: tuple[float, ...] = (1.6, 2.56), sleep: Callable[[float], None] = time.sleep) -> Completer:
+    """A completer that asks the modes in turn, a tool call before a plain JSON answer say, until one answers with JSON.
+
+    Each mode is asked once more than there are waits; only a failure is waited for, an empty
+    answer is asked again at once.  If no mode answers, the answer is empty.
+    """
+
+    def call(prompt: str) -> str:
+        for mode in modes:
+            for wait in (*waits, None):
+                try:
+                    answer = mode(prompt) or ""
+                    if answer.strip():
+                        json.loads(answer)
+                        return answer
+                except Exception:  # the next attempt or mode is the answer to any failure
+                    if wait is not None:
+                        sleep(wait)
+        return ""
+
+    return call
+
+
 def extract_with_repair(prompt: str, complete: Completer, validate: Validator, budget: int = 3) -> tuple[dict | None, list[str], int]:
     """(object, errors, calls): asked again with what is wrong until nothing is, or the budget is spent."""
     ask, found, wrong, calls = prompt, None, ["no answer"], 0

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import profiles
 from ..functions.numerals import let
@@ -45,6 +49,43 @@ def nearest_within(ticks: DataFrame, boxes: DataFrame, radius: float = 25.0, pag
     return hits.groupBy(page, "tick").agg(F.min_by("box", F.struct("d", "box")).alias("box"))
 
 
+def align(lines: list[str], found: list[str]) -> list[int | None]:
+    """For each line the place of the first equal key in found after the one taken last, or None; an empty key has none."""
+    places: dict[str, list[int]] = {}
+    for i, key in enumerate(found):
+        places.setdefault(key, []).append(i)
+    out, after = [], 0
+    for key in lines:
+        own = places.get(key, []) if key else []
+        at = bisect.bisect_left(own, after)
+        out.append(own[at] if at < len(own) else None)
+        after = after if out[-1] is None else out[-1] + 1
+    return out
+
+
+def aligned_lines(lines: DataFrame, found: DataFrame, page: str = "page", order: str = "n", key: str = "key", value: str = "checked") -> DataFrame:
+    """(page, n, value): lines with the boolean of the detected line that they align to, false for none.
+
+    Both sides have (page, n, key); a page's lines are walked once, in order.  Null keys are
+    empty, a page without detected lines has none, and of equal n the lesser key is first.
+    """
+
+    def side(d: DataFrame, name: str, v: Column) -> DataFrame:
+        item = F.struct(F.col(order).cast("long").alias("n"), text(F.col(key)).alias("k"), v.alias("v"))
+        return d.groupBy(page).agg(F.array_sort(F.collect_list(item)).alias(name))
+
+    both = side(lines, "own", F.lit(False)).join(side(found, "seen", F.coalesce(value, F.lit(False))), page, "left")
+    cols = both.select(page, F.col("own.n").alias("n"), F.col("own.k").alias("k"), F.coalesce("seen.k", F.array().cast("array<string>")).alias("f"), F.coalesce("seen.v", F.array().cast("array<boolean>")).alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hits = [[at is not None and v[at] for at in align(k, f)] for k, f, v in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hits, pa.list_(pa.bool_()))], names=["page", "n", "v"])
+
+    kind = T.StructType([T.StructField("page", cols.schema[page].dataType), T.StructField("n", T.ArrayType(T.LongType())), T.StructField("v", T.ArrayType(T.BooleanType()))])
+    return cols.mapInArrow(run, kind).select(F.col("page").alias(page), F.explode(F.arrays_zip("n", "v")).alias("x")).select(page, F.col("x.n").alias(order), F.col("x.v").alias(value))
+
+
 def probable_table(rows: Column) -> Column:
     """Two rows and columns at least, two known terms in the first row, and short cells."""
     head = F.transform(F.get(rows, F.lit(0)), lambda c: F.coalesce(c, F.lit("")))

@@ -15,6 +15,18 @@ def ordered_concat(rows: DataFrame, key: str, order: list[str], text_col: str =
     return filled.groupBy(key).agg(F.array_join(F.transform(got, lambda s: s["_t"]), separator).alias("text"), F.count("*").alias("n"))
 
 
+def joined_chunks(rows: DataFrame, key: str = "doc_id", order: str = "chunk_index", ids: str = "chunk_id", section: str = "section", text_col: str = "text", wanted: list[str] | None = None) -> DataFrame:
+    """(key, text, chunk_ids, sections): the stripped texts of each key in order, two empty lines apart, and where they are from.
+
+    Texts without characters are left out, with their ids; of equal order the lesser id is first.
+    With `wanted`, rows of other named sections are left out; a key without rows gives none.
+    """
+    r = rows if wanted is None else wanted_sections(rows, wanted, section)
+    r = r.select(key, F.struct(F.col(order).alias("o"), F.col(ids).alias("id"), text(F.col(section)).alias("s"), strip(text(F.col(text_col))).alias("t")).alias("c")).where("c.t <> ''")
+    got = r.groupBy(key).agg(F.array_sort(F.collect_list("c")).alias("c"))
+    return got.select(key, F.array_join("c.t", "\n\n\n").alias("text"), F.col("c.id").alias("chunk_ids"), F.col("c.s").alias("sections"))
+
+
 def budgeted_concat(rows: DataFrame, key: str, order: list[str], budget: int, text_col: str = "text", separator: str = "\n\n") -> DataFrame:
     """ordered_concat() of at most `budget` characters.
 

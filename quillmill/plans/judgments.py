@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import extract, judgment
+from ..operators import extract, judgment, pages, rawinput
 from .registry import query, rows_sql, table
 
 _COURTS = [
@@ -119,3 +119,23 @@ def attach_document_info(spark, sf):
     info = c.where("conv_id % 3 <> 0").groupBy("conv_id").agg(F.count("*").alias("n"))
     one = judgment.attach(c, info, "conv_id", "turn").withColumnRenamed("judgment_info", "one")
     return judgment.attach(one, info, "conv_id", "turn", everywhere=True).select("conv_id", "turn", F.col("one.n").alias("attached"), F.col("judgment_info.n").alias("everywhere"))
+
+
+@query("""
+select conv_id, string_agg(t, chr(10) || chr(10) || chr(10) order by turn) as text, array_to_string(list(turn::varchar order by turn), ',') as chunk_ids, array_to_string(list(role order by turn), ',') as sections
+from (select *, trim(text, ' ' || chr(9) || chr(10) || chr(13)) as t from conversations) where t <> '' and (coalesce(role, '') = '' or role in ('user', 'assistant')) group by conv_id
+""")
+def document_texts(spark, sf):
+    got = rawinput.joined_chunks(table(spark, sf, "conversations"), "conv_id", "turn", "turn", "role", wanted=["user", "assistant"])
+    return got.select("conv_id", "text", F.array_join(F.col("chunk_ids").cast("array<string>"), ",").alias("chunk_ids"), F.array_join("sections", ",").alias("sections"))
+
+
+_LINES = [(1, 0, "a"), (1, 1, "b"), (1, 2, "a"), (1, 3, "c"), (1, 4, "b"), (1, 5, ""), (2, 0, "a")]
+_DETECTED = [(1, 0, "x", True), (1, 1, "b", True), (1, 2, "a", False), (1, 3, "b", True), (1, 4, "", True)]
+_ALIGNED = [(1, 0, False), (1, 1, True), (1, 2, False), (1, 3, False), (1, 4, False), (1, 5, False), (2, 0, False)]
+
+
+@query(rows_sql("page long, n long, checked boolean", _ALIGNED))
+def checkbox_alignment(spark, sf):
+    d = spark.createDataFrame(_DETECTED, "page long, n long, key string, checked boolean")
+    return pages.aligned_lines(spark.createDataFrame(_LINES, "page long, n long, key string"), d)

@@ -273,3 +273,37 @@ def test_spans_of_any_length_match_their_articles(spark):
     assert len(found) == len(want) and set(found) == want
     assert sorted(r.article for r in missed.collect()) == [0, 0, 4, 4, 2_000_000_001, 2_000_000_001]
     assert link.cite_edges(cited, targets.limit(0))[0].isEmpty()
+
+
+def test_lines_align_as_a_walk_over_all_detected_lines_does():
+    import random
+
+    from quillmill.operators.pages import align
+
+    rng = random.Random(2)
+    for _ in range(300):
+        lines, found = (rng.choices(["a", "b", "c", ""], k=rng.randint(0, 8)) for _ in range(2))
+        want, after = [], 0
+        for key in lines:
+            at = next((i for i in range(after, len(found)) if key and found[i] == key), None)
+            want.append(at)
+            after = after if at is None else at + 1
+        assert align(lines, found) == want
+
+
+def test_modes_of_a_model_are_tried_in_turn():
+    from quillmill.operators import complete
+
+    asked, waits = [], []
+
+    def tool(prompt):
+        asked.append("tool")
+        raise OSError("no tools")
+
+    def plain(prompt):
+        asked.append("plain")
+        return "" if len(asked) < 5 else '{"a": 1}'
+
+    assert complete.first_json([tool, plain], sleep=waits.append)("p") == '{"a": 1}'
+    assert asked == ["tool"] * 3 + ["plain"] * 2 and waits == [1.6, 2.56]
+    assert complete.first_json([tool, lambda p: "no json"], sleep=waits.append)("p") == ""
