@@ -396,3 +396,12 @@ INTRO_SECTIONS = ("开头", "案号行", "当事人信息", "审理经过")
 DEFENCE_SECTIONS = ("被告人辩解与辩护意见", "辩护意见")
 OPINION_SECTIONS = ("理由", "本院认为")
 HOLDING_SECTIONS = ("主文", "结果", "判决结果", "尾部")
+
+# --- fixed values: structured citations, and graphs of cases ---
+
+LAW_FIELDS = ("law", "name", "title", "law_name")
+ARTICLE_FIELDS = ("article", "articles", "article_no")
+RANGE_FIELDS = (("l", "r"), ("left", "right"), ("start", "end"), ("from", "to"))
+CASE_LISTS = ("parties", "relationships", "claims", "facts", "evidence", "legal_issues", "law_candidates", "similar_judgments", "timeline")
+CASE_VERSION, CASE_SOURCE = "0.1.0", "judgment"
+CASE_PLACE = {"jurisdiction": "CN", "language": "zh-CN"}

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import profiles
 from ..functions.profiles import DROPPED_KEYWORDS
 
 Completer = Callable[[str], str]
@@ -226,3 +227,54 @@ def lint_strict(s: Any, at: str = "$") -> list[str]:
         wrong.append(f"{at}: open object")
     named = ("properties", "$def")
     return wrong + [e for k, v in s.items() for e in ([y for n, x in v.items() for y in lint_strict(x, f"{at}.{n}")] if k in named else lint_strict(v, f"{at}.{k}"))]
+
+
+def tool_of(spec: Any) -> dict:
+    """The first tool of a parsed file: a tool, a list of tools or an object with `tools`; ValueError for what names no function."""
+    tools = spec.get("tools", [spec] if spec.get("type") == "function" else None) if isinstance(spec, dict) else spec
+    if not isinstance(tools, list) or not tools:
+        raise ValueError("neither a tool nor a list of tools")
+    if not (isinstance(tools[0], dict) and tools[0].get("function", {}).get("name")):
+        raise ValueError("the tool names no function")
+    return tools[0]
+
+
+def case_graph(answer: dict, doc: dict, raw_text: str) -> dict:
+    """An answer as a whole graph of a case: what it lacks comes from the document or is a default, lists are lists.
+
+    What the answer has stays, null too, but for the lists, the source and the text, which are the document's.
+    """
+    about = doc.get("meta") or {}
+    level = (about.get("trial_level") or "").strip()
+    named = [stage for stage, levels in profiles.PROCEDURE_STAGES if level in levels]
+    stage = named[0] if named else "retrial" if "再审" in level or level == "retrial" else profiles.PROCEDURE_STAGES[0][0]
+    known = {**profiles.CASE_PLACE, "court": about.get("court"), "case_type": doc.get("subtype") or about.get("cause") or about.get("case_system"), "cause": about.get("cause"), "procedure_stage": stage}
+    whole = {"case_id": str(doc.get("doc_id", "")).strip() or "UNKNOWN_DOC", "schema_version": profiles.CASE_VERSION, "summary": None, **answer}
+    lists = {k: whole[k] if isinstance(whole.get(k), list) else [] for k in profiles.CASE_LISTS}
+    return {**whole, **lists, "source_type": profiles.CASE_SOURCE, "raw_text": raw_text, "meta": {**known, **(answer.get("meta") or {})}}
+
+
+def for_output(graph: dict, doc_id: str, keep_text: bool = False) -> dict:
+    """A graph with its document's id, its text emptied unless it is to be kept."""
+    text = {} if keep_text or "raw_text" not in graph else {"raw_text": ""}
+    return {"doc_id": doc_id, **graph, **text}
+
+
+def case_graphs(answers: DataFrame, docs: DataFrame, keep_text: bool = False) -> DataFrame:
+    """(doc_id, payload) of answers (doc_id, payload JSON) as whole graphs; docs are (doc_id, doc JSON, text).
+
+    Answers without an object or a document are left out.  The join moves answers and texts once.
+    """
+    d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "doc", F.coalesce("text", F.lit("")).alias("text"))
+    both = answers.where("payload is not null").select(F.col("doc_id").cast("string").alias("doc_id"), "payload").join(d, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for doc_id, payload, doc, text in zip(*(c.to_pylist() for c in b.columns)):
+                answer, about = recover_json(payload), recover_json(doc) or {}
+                whole = case_graph(answer, {"doc_id": doc_id, **about}, text) if answer is not None else None
+                out.append(json.dumps(for_output(whole, doc_id, keep_text), ensure_ascii=False, sort_keys=True) if whole else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["doc_id", "payload"])
+
+    return both.mapInArrow(run, "doc_id string, payload string").where("payload is not null")

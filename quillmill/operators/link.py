@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +22,9 @@ CITATION = rf"《\s*([^》]+?)\s*》第({NUMERAL}+)条"
 SHORT = 16
 
 
+_NUMERALS = re.compile(f"^{NUMERAL}+")
+
+
 def citations(chunks: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
     """(id, law_raw, article_raw, law_norm, article) for each 《…》第N条 of a text."""
     found = F.arrays_zip(*[F.regexp_extract_all(text(F.col(text_col)), F.lit(CITATION), F.lit(i)).alias(n) for i, n in ((1, "law_raw"), (2, "article_raw"))])
@@ -105,6 +114,52 @@ def statute_mentions(docs: DataFrame, id_col: str = "doc_id", statutes_col: str
     return found.groupBy(id_col, "law_norm").agg(longest.alias("law_raw"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("arts")))).alias("articles"))
 
 
+def article_leaves(x: Any) -> list[str]:
+    """Texts that name the articles of a parsed JSON value: numbers, texts, ranges by two fields, and lists and maps of these."""
+    if isinstance(x, dict):
+        x = {k.lower(): v for k, v in x.items()}
+        if any(set(pair) <= set(x) for pair in profiles.RANGE_FIELDS):
+            ends = [next((str(x[pair[side]]) for pair in profiles.RANGE_FIELDS if x.get(pair[side])), "") for side in (0, 1)]
+            read = [m[0] for end in ends if (m := _NUMERALS.search(re.sub(r"[第条\s]", "", end)))]
+            return ["-".join(f"第{n}条" for n in read)] if read else []
+        return [leaf for v in x.values() for leaf in article_leaves(v)]
+    if isinstance(x, list):
+        return [leaf for v in x for leaf in article_leaves(v)]
+    if isinstance(x, (int, float)):
+        return [f"第{int(x)}条"] if x >= 1 else []
+    return [x] if x else []
+
+
+def structured_mentions(docs: DataFrame, id_col: str = "doc_id", items_col: str = "items") -> DataFrame:
+    """statute_mentions() of JSON items: objects name a law and its articles, strings and what is no JSON are citations as text.
+
+    Null and empty items, and objects without a law or an article, give no rows.
+    """
+    own = docs.select(F.col(id_col).cast("string").alias("id"), F.posexplode(items_col).alias("seq", "item")).where("item is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            laws, leaves, said = [], [], []
+            for item in b.column(2).to_pylist():
+                try:
+                    x = json.loads(item)
+                except ValueError:
+                    x = item
+                law = next((str(x[f]).strip() for f in profiles.LAW_FIELDS if x.get(f)), "") if isinstance(x, dict) else None
+                laws.append(law)
+                leaves.append([leaf for f in profiles.ARTICLE_FIELDS for leaf in article_leaves(x.get(f))] if isinstance(x, dict) else [])
+                said.append(x if isinstance(x, str) else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(laws, pa.string()), pa.array(leaves, pa.list_(pa.string())), pa.array(said, pa.string())], names=["id", "seq", "raw", "leaves", "said"])
+
+    read = own.mapInArrow(run, "id string, seq int, raw string, leaves array<string>, said string")
+    objects = read.select("id", F.col("raw").alias("law_raw"), law_name(F.col("raw")).alias("law_norm"), F.explode("leaves").alias("leaf"))
+    objects = objects.select("id", "law_raw", "law_norm", expand_articles(F.col("leaf")).alias("articles"))
+    texts = statute_mentions(read.where("said is not null").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "said"))), lambda x: x["said"]).alias("s")), "id", "s")
+    both = objects.unionByName(texts).where("law_norm <> '' and size(articles) > 0")
+    longest = F.max_by("law_raw", F.struct(F.length("law_raw"), "law_raw"))
+    return both.groupBy(F.col("id").alias(id_col), "law_norm").agg(longest.alias("law_raw"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("articles")))).alias("articles"))
+
+
 def mention_failures(docs: DataFrame, id_col: str = "doc_id", statutes_col: str = "statutes") -> DataFrame:
     """(entry, n): citation strings that name no article, less titles that need none."""
     s = F.trim(F.coalesce("s", F.lit("")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import extract, judgment, pages, rawinput
+from ..operators import complete, extract, judgment, link, pages, rawinput
 from .registry import query, rows_sql, table
 
 _COURTS = [
@@ -139,3 +139,34 @@ _ALIGNED = [(1, 0, False), (1, 1, True), (1, 2, False), (1, 3, False), (1, 4, Fa
 def checkbox_alignment(spark, sf):
     d = spark.createDataFrame(_DETECTED, "page long, n long, key string, checked boolean")
     return pages.aligned_lines(spark.createDataFrame(_LINES, "page long, n long, key string"), d)
+
+
+_ITEMS = [
+    '{"law": "《民法典》", "articles": [1, "第三条", {"start": "第五条", "end": "七"}], "article_no": "第九条至第十条"}',
+    '{"name": "中华人民共和国民法典", "article": {"l": 0, "r": 12, "x": 3}}',
+    "依照《刑法》第十二条",
+    '"《刑法》第十四条至第十五条"',
+    '{"title": "无条法"}',
+    '{"article": 3}',
+    None,
+    "",
+]
+_STRUCTURED = [("d", "民法典", "中华人民共和国民法典", "1,3,5,6,7,9,10,12"), ("d", "刑法", "刑法", "12,14,15")]
+
+
+@query(rows_sql("doc_id string, law_norm string, law_raw string, articles string", _STRUCTURED))
+def structured_citations(spark, sf):
+    m = link.structured_mentions(spark.createDataFrame([("d", _ITEMS), ("e", None)], "doc_id string, items array<string>"))
+    return m.withColumn("articles", F.array_join(F.col("articles").cast("array<string>"), ","))
+
+
+_GRAPHS = [("a", "a", "judgment", "second_instance", "甲法院", 1, ""), ("b", "B", "judgment", "first_instance", None, 0, "")]
+
+
+@query(rows_sql("doc_id string, case_id string, source string, stage string, court string, facts long, raw_text string", _GRAPHS))
+def case_graph_defaults(spark, sf):
+    answers = spark.createDataFrame([("a", '{"facts": ["x"], "claims": 3}'), ("b", '{"case_id": "B", "facts": null, "source_type": "other"}'), ("c", None), ("e", "{}")], "doc_id string, payload string")
+    docs = spark.createDataFrame([("a", '{"meta": {"trial_level": "二审", "court": "甲法院"}}', "t"), ("b", None, None), ("c", "{}", "t")], "doc_id string, doc string, text string")
+    g = lambda path: F.get_json_object("payload", f"$.{path}")
+    facts = F.json_array_length(g("facts")).cast("long")
+    return complete.case_graphs(answers, docs).select("doc_id", g("case_id").alias("case_id"), g("source_type").alias("source"), g("meta.procedure_stage").alias("stage"), g("meta.court").alias("court"), facts.alias("facts"), g("raw_text").alias("raw_text"))

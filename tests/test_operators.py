@@ -307,3 +307,24 @@ def test_modes_of_a_model_are_tried_in_turn():
     assert complete.first_json([tool, plain], sleep=waits.append)("p") == '{"a": 1}'
     assert asked == ["tool"] * 3 + ["plain"] * 2 and waits == [1.6, 2.56]
     assert complete.first_json([tool, lambda p: "no json"], sleep=waits.append)("p") == ""
+
+
+def test_tool_files_of_three_shapes():
+    import pytest
+
+    from quillmill.operators import complete
+
+    tool = {"type": "function", "function": {"name": "f", "parameters": {"type": "object"}}}
+    assert all(complete.tool_of(x) == tool for x in (tool, [tool, {}], {"tools": [tool]}))
+    for bad in ([], {}, {"tools": []}, {"type": "function", "function": {}}, "f", None, [3]):
+        with pytest.raises(ValueError):
+            complete.tool_of(bad)
+
+
+def test_case_graph_keeps_what_the_answer_has():
+    from quillmill.operators import complete
+
+    g = complete.case_graph({"meta": {"court": "乙", "cause": None}, "summary": "s", "parties": "no list"}, {"doc_id": " ", "meta": {"court": "甲", "cause": "c", "trial_level": "再审"}}, "text")
+    assert (g["case_id"], g["summary"], g["parties"], g["raw_text"]) == ("UNKNOWN_DOC", "s", [], "text")
+    assert (g["meta"]["court"], g["meta"]["cause"], g["meta"]["case_type"], g["meta"]["procedure_stage"]) == ("乙", None, "c", "retrial")
+    assert complete.for_output(g, "d")["raw_text"] == "" and complete.for_output(g, "d", True)["raw_text"] == "text"
