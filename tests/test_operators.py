@@ -328,3 +328,19 @@ def test_case_graph_keeps_what_the_answer_has():
     assert (g["case_id"], g["summary"], g["parties"], g["raw_text"]) == ("UNKNOWN_DOC", "s", [], "text")
     assert (g["meta"]["court"], g["meta"]["cause"], g["meta"]["case_type"], g["meta"]["procedure_stage"]) == ("乙", None, "c", "retrial")
     assert complete.for_output(g, "d")["raw_text"] == "" and complete.for_output(g, "d", True)["raw_text"] == "text"
+
+
+def test_no_keys_of_targets_are_broadcast(spark, monkeypatch):
+    from quillmill.operators import link
+
+    targets = spark.range(40).selectExpr("concat('t', id) chunk_id", "'statute' doc_type", "concat('甲乙', id % 4, '法') law_name", "array('简称') law_alias", "concat(id % 7, '~', id % 7 + 2) article_no")
+    cited = spark.range(60).selectExpr("concat('q', id % 45) chunk_id", "element_at(array('法', '甲乙1法', '简称', '乙法'), int(id % 4) + 1) law_norm", "id % 11 article")
+    want = {(f"q{n % 45}", f"t{i}") for n in range(60) for i in range(40) if i % 7 <= n % 11 <= i % 7 + 2 and (n % 4 in (0, 2) or (n % 4 == 1 and i % 4 == 1))}
+    for pairs in (0, 1000):
+        monkeypatch.setattr(link, "PAIRS", pairs, raising=False)
+        edges, missed = link.cite_edges(cited, targets)
+        plan = edges._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan if pairs == 0 else all("BuildRight" not in line or "LeftSemi" in line for line in plan.splitlines() if "BroadcastHashJoin" in line)
+        found = [(r.from_chunk, r.to_chunk) for r in edges.collect()]
+        assert len(found) == len(want) and set(found) == want
+        assert all(r.article > 8 or r.law_norm == "乙法" for r in missed.collect()) and missed.count() > 0
