@@ -344,3 +344,14 @@ def test_no_keys_of_targets_are_broadcast(spark, monkeypatch):
         found = [(r.from_chunk, r.to_chunk) for r in edges.collect()]
         assert len(found) == len(want) and set(found) == want
         assert all(r.article > 8 or r.law_norm == "乙法" for r in missed.collect()) and missed.count() > 0
+
+
+def test_citations_without_target_are_told_by_pairs_alone(spark):
+    from quillmill.operators import link
+
+    targets = spark.range(40).selectExpr("concat('t', id) chunk_id", "'statute' doc_type", "'甲法' law_name", "cast(null as array<string>) law_alias", "'1~5' article_no")
+    cited = spark.range(20).selectExpr("concat('q', id) chunk_id", "'甲法' law_norm", "id article")
+    missed = link.cite_edges(cited, targets)[1]
+    anti = [line for line in missed._jdf.queryExecution().sparkPlan().toString().splitlines() if "LeftAnti" in line]
+    assert len(anti) == 1 and "BroadcastHashJoin" in anti[0]  # a few pairs go out, and no target of theirs
+    assert sorted(r.article for r in missed.collect()) == [0, *range(6, 20)]
