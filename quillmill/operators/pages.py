@@ -6,7 +6,9 @@ import bisect
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,20 +35,152 @@ def outside_tables(words: DataFrame, tables: DataFrame, page: str = "page") -> D
     return w.join(t, (F.col(f"w.{page}") == F.col(f"t.{page}")) & rectangles_meet(box("w"), box("t")), "left_anti")
 
 
+#: Widths of a tile in radii, ticks or boxes that a tile holds in one part, boxes in a leaf of a tree, and ticks that walk it together.
+TILE, PART, LEAF, WALK = 8, 200_000, 8, 16_384
+
+
+class Boxes:
+    """A tree over points that halves them by turns of the wider side; finds the nearest point, of equals the first."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        order = np.lexsort((np.arange(len(x)), y, x))
+        px, py = x[order], y[order]
+        order = np.sort(order[np.r_[True, (px[1:] != px[:-1]) | (py[1:] != py[:-1])]])  # one of each place
+        depth = 0
+        while len(order) > LEAF << depth:
+            depth += 1
+        self.depth, cuts = depth, np.array([0, len(order)])
+        self.x, self.y = x, y
+        self.bounds, self.cuts = [], []
+        for level in range(depth + 1):
+            px, py, lo = x[order], y[order], cuts[:-1]
+            b = np.stack([np.minimum.reduceat(px, lo), np.maximum.reduceat(px, lo), np.minimum.reduceat(py, lo), np.maximum.reduceat(py, lo)])
+            self.bounds.append(b)
+            self.cuts.append(cuts)
+            if level < depth:
+                sizes = np.diff(cuts)
+                wide = np.repeat(b[1] - b[0] >= b[3] - b[2], sizes)
+                order = order[np.lexsort((np.where(wide, px, py), np.repeat(np.arange(len(sizes)), sizes)))]
+                cuts = np.insert(cuts, np.arange(1, len(cuts)), cuts[:-1] + sizes // 2)
+        self.order = order
+
+    def _away(self, level: int, node: np.ndarray, tx: np.ndarray, ty: np.ndarray) -> np.ndarray:
+        """The distance of points to the bounds of nodes, a little less for rounding."""
+        x0, x1, y0, y1 = self.bounds[level][:, node]
+        dx, dy = np.maximum(np.maximum(x0 - tx, tx - x1), 0), np.maximum(np.maximum(y0 - ty, ty - y1), 0)
+        return np.sqrt(dx * dx + dy * dy) * (1 - 1e-12)
+
+    def _look(self, t: np.ndarray, leaf: np.ndarray, tx: np.ndarray, ty: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
+        lo, n = self.cuts[-1][leaf], np.diff(self.cuts[-1])[leaf]
+        who = np.repeat(t, n)
+        box = self.order[np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)]
+        dx, dy = self.x[box] - tx[who], self.y[box] - ty[who]
+        d = np.sqrt(dx * dx + dy * dy)
+        near = d <= best[who]
+        who, box, d = who[near], box[near], d[near]
+        first = np.lexsort((box, d, who))
+        first = first[np.r_[True, who[first][1:] != who[first][:-1]][: len(first)]]
+        who, box, d = who[first], box[first], d[first]
+        better = (d < best[who]) | ((d == best[who]) & (box < at[who]))
+        best[who[better]], at[who[better]] = d[better], box[better]
+
+    def nearest(self, tx: np.ndarray, ty: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the nearest point closer than radius or -1, distance) of each tick."""
+        found = [self._walk(tx[i : i + WALK], ty[i : i + WALK], radius) for i in range(0, len(tx), WALK)]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    def _walk(self, tx: np.ndarray, ty: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        t = np.arange(len(tx))
+        best, at = np.full(len(tx), np.nextafter(radius, -np.inf)), np.full(len(tx), len(self.x))
+        node = np.zeros(len(tx), np.int64)
+        for level in range(1, self.depth + 1):  # down the nearer child, for a first bound
+            node = 2 * node + (self._away(level, 2 * node + 1, tx, ty) < self._away(level, 2 * node, tx, ty))
+        self._look(t, node, tx, ty, best, at)
+        first = node
+        # every other leaf in reach, in rounds of at most WALK visits, nearest halves of the tree on top
+        todo = [(0, t, np.zeros(len(t), np.int64))]
+        while todo:
+            level, who, node = todo.pop()
+            if len(who) > WALK:
+                todo.append((level, who[WALK:], node[WALK:]))
+                who, node = who[:WALK], node[:WALK]
+            reach = self._away(level, node, tx[who], ty[who]) <= best[who]
+            who, node = who[reach], node[reach]
+            if not len(who):
+                continue
+            if level == self.depth:
+                other = node != first[who]
+                self._look(who[other], node[other], tx, ty, best, at)
+                continue
+            left, right = (self._away(level + 1, 2 * node + i, tx[who], ty[who]) for i in (0, 1))
+            near = 2 * node + (right < left)
+            todo += [(level + 1, who, near ^ 1), (level + 1, who, near)]
+        return np.where(at < len(self.x), at, -1), best
+
+
 def nearest_within(ticks: DataFrame, boxes: DataFrame, radius: float = 25.0, page: str = "page") -> DataFrame:
-    """(page, tick, box): the nearest box within the radius of each tick.
+    """(page, tick, box): the nearest box within the radius of each tick, of equals the least.
 
-    Both sides fall into a grid of that width; each tick looks into nine squares, so that the join
-    is on equality.
+    Pages are cut into tiles of TILE radii; a box goes to every tile that its radius touches, a tick
+    to its own.  A tile's boxes become a tree that its ticks walk, so that crowded pages make no
+    pairs.  Tiles above PART ticks or boxes are dealt into parts, each of ticks against each of boxes.
     """
-    g = lambda c: F.floor(F.col(c) / radius)
-    t = ticks.select(page, F.col("id").alias("tick"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-    near = F.explode(F.flatten(F.array(*[F.array(*[F.struct((F.floor(F.col("tx") / radius) + i).alias("gx"), (F.floor(F.col("ty") / radius) + j).alias("gy")) for j in (-1, 0, 1)]) for i in (-1, 0, 1)])))
-    t = t.select("*", near.alias("g")).select(page, "tick", "tx", "ty", "g.gx", "g.gy")
-    b = boxes.select(page, F.col("id").alias("box"), "x", "y", g("x").alias("gx"), g("y").alias("gy"))
-    d = F.sqrt((F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2)
-    hits = t.join(b, [page, "gx", "gy"]).withColumn("d", d).where(F.col("d") < radius)
-    return hits.groupBy(page, "tick").agg(F.min_by("box", F.struct("d", "box")).alias("box"))
+    wide, reach = TILE * radius, radius * (1 + 1e-9)
+    tile = lambda c, add=0.0: F.floor((F.col(c) + add) / wide)
+    here = lambda d: d.where(" and ".join(f"{c} is not null and abs({c}) < double('Infinity')" for c in ("x", "y")) + f" and {page} is not null")
+    own = lambda d: here(d.select(page, "id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
+    t = own(ticks).withColumn("gx", tile("x")).withColumn("gy", tile("y"))
+    span = lambda c: F.explode(F.sequence(tile(c, -reach), tile(c, reach)))
+    b = own(boxes).withColumn("gx", span("x")).withColumn("gy", span("y"))
+    at = [page, "gx", "gy"]
+    none = [F.lit(None).cast(d.schema["id"].dataType) for d in (ticks, boxes)]
+    both = t.select(*at, "x", "y", F.col("id").alias("tick"), none[1].alias("box"), F.lit(True).alias("is_tick")).unionByName(b.select(*at, "x", "y", none[0].alias("tick"), F.col("id").alias("box"), F.lit(False).alias("is_tick")))
+    sizes = both.groupBy(at).agg(F.count_if("is_tick").alias("nt"), F.count_if(~F.col("is_tick")).alias("nb")).where((F.col("nt") > PART) | (F.col("nb") > PART))
+    parts = sizes.select(*at, *[F.ceil(F.col(n) / PART).cast("int").alias(k) for n, k in (("nt", "pt"), ("nb", "pb"))])
+    both = both.join(F.broadcast(parts), at, "left")  # no more than the rows over PART
+    dealt = lambda k: F.pmod(F.xxhash64("tick", "box", "x", "y"), F.greatest(F.coalesce(k, F.lit(1)), F.lit(1))).cast("int")
+    every = lambda k: F.sequence(F.lit(0), F.greatest(F.coalesce(k, F.lit(1)), F.lit(1)) - 1)
+    both = both.withColumn("i", F.explode(F.when(F.col("is_tick"), F.array(dealt(F.col("pt")))).otherwise(every(F.col("pt"))))).withColumn("j", F.explode(F.when(F.col("is_tick"), every(F.col("pb"))).otherwise(F.array(dealt(F.col("pb"))))))
+    keys = [*at, "i", "j"]
+    # boxes by id, so that of equals the first is the least
+    placed = both.select(*keys, "is_tick", "tick", "box", "x", "y").repartition(*keys).sortWithinPartitions(*keys, "is_tick", "box")
+    own_page = placed.schema[page].dataType
+    out = T.StructType([T.StructField(page, own_page), T.StructField("tick", ticks.schema["id"].dataType), T.StructField("box", boxes.schema["id"].dataType), T.StructField("d", T.DoubleType())])
+
+    def solved(rows: pa.Table) -> pa.RecordBatch | None:
+        n = rows.num_rows - pc.sum(rows["is_tick"]).as_py()
+        if n in (0, rows.num_rows):
+            return None
+        x, y = rows["x"].to_numpy(), rows["y"].to_numpy()
+        box, d = Boxes(x[:n], y[:n]).nearest(x[n:], y[n:], radius)
+        hit = np.flatnonzero(box >= 0)
+        cut = rows.take(pa.array(hit + n))
+        columns = [cut[page], cut["tick"], rows["box"].take(pa.array(box[hit])), pa.chunked_array([d[hit]])]
+        return pa.table(columns, names=out.names).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, last = [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = np.zeros(b.num_rows, bool)
+            for k in keys:
+                c = b.column(k)
+                new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            key = [b.column(k)[0].as_py() for k in keys]
+            new[0] = last is not None and key != last
+            at = 0
+            for cut in np.flatnonzero(new):
+                done, at = solved(pa.Table.from_batches([*kept, b.slice(at, cut - at)])), cut
+                kept = []
+                if done is not None:
+                    yield from done.to_batches()
+            kept.append(b.slice(at))
+            last = [b.column(k)[b.num_rows - 1].as_py() for k in keys]
+        if kept and (done := solved(pa.Table.from_batches(kept))) is not None:
+            yield from done.to_batches()
+
+    return placed.mapInArrow(run, out).groupBy(page, "tick").agg(F.min(F.struct("d", "box"))["box"].alias("box"))
 
 
 def align(lines: list[str], found: list[str]) -> list[int | None]:

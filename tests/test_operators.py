@@ -355,3 +355,28 @@ def test_citations_without_target_are_told_by_pairs_alone(spark):
     anti = [line for line in missed._jdf.queryExecution().sparkPlan().toString().splitlines() if "LeftAnti" in line]
     assert len(anti) == 1 and "BroadcastHashJoin" in anti[0]  # a few pairs go out, and no target of theirs
     assert sorted(r.article for r in missed.collect()) == [0, *range(6, 20)]
+
+
+def test_crowded_pages_make_no_pairs_of_ticks_and_boxes(spark, monkeypatch):
+    import numpy as np
+
+    from quillmill.operators import pages
+
+    r = np.random.default_rng(3)
+    ticks, boxes = ([(int(p), i, float(x), float(y)) for i, (p, x, y) in enumerate(zip(r.integers(0, 2, n), r.integers(-60, 300, n), r.integers(0, 15, n) * 20))] for n in (700, 900))
+    ticks += [(0, 5000 + i, 50.0, 50.0) for i in range(3000)] + [(7, 1, 0.0, 0.0), (0, 4999, None, 1.0)]
+    boxes += [(0, 5000 + i, 50.0 + i % 2, 50.0) for i in range(3000)]
+    t, b = (spark.createDataFrame(rows, "page int, id long, x double, y double") for rows in (ticks, boxes))
+    want = {}
+    for page in (0, 1):
+        own = np.array([q[1:] for q in boxes if q[0] == page])
+        for _, i, x, y in (q for q in ticks if q[0] == page and q[2] is not None):
+            d = np.sqrt((own[:, 1] - x) ** 2 + (own[:, 2] - y) ** 2)
+            if d.min() < 25:
+                want[page, i] = int(own[d.argmin(), 0])
+    for part in (100_000, 500):
+        monkeypatch.setattr(pages, "PART", part, raising=False)
+        got = pages.nearest_within(t, b)
+        joins = [line for line in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+        assert len(joins) == 1 and "BroadcastHashJoin" in joins[0] and "LeftOuter" in joins[0]  # the parts of crowded tiles
+        assert {(q.page, q.tick): q.box for q in got.collect()} == want
