@@ -17,15 +17,60 @@ from .blocks import BLOCK, blocks, united
 Embedder = Callable[[list[str]], np.ndarray]
 
 
+#: Trigrams whose hashes a worker keeps, and code points that it takes in one go.
+HASHES, POINTS = 1_000_000, 4_000_000
+
+
 def hash_embedder(dim: int = 64) -> Embedder:
-    """A deterministic stand-in for a model: signed hashes of character trigrams, unit length."""
+    """A deterministic stand-in for a model: signed hashes of character trigrams, unit length.
+
+    Each distinct trigram is hashed once, as long as no more than HASHES are known; texts are counted
+    by number.
+    """
+    known: dict[int, int] = {}
+
+    def place(code: int) -> int:
+        """2 * bucket + 1 if the sign is plus, of a trigram of 21 bits a code point, each one more than it is."""
+        t = "".join(chr(c - 1) for c in (code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF) if c)
+        h = int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+        return 2 * (h % dim) + (h >> 63)
+
+    def places(codes: np.ndarray) -> np.ndarray:
+        if len(known) > HASHES:
+            known.clear()
+        out = []
+        for code in codes.tolist():
+            at = known.get(code)
+            if at is None:
+                at = known[code] = place(code)
+            out.append(at)
+        return np.array(out, np.int64)
+
+    def codes(t: str) -> np.ndarray:
+        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+        c = np.concatenate([c, np.zeros(max(0, 3 - len(c)), np.int64)])
+        return c[:-2] << 42 | c[1:-1] << 21 | c[2:]
+
+    def add(out: np.ndarray, rows: list[int], parts: list[np.ndarray]) -> None:
+        distinct, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+        at = places(distinct)[inverse] + 2 * dim * np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        counts = np.bincount(at, minlength=2 * dim * len(parts)).reshape(len(parts), dim, 2)
+        np.add.at(out, rows, (counts[:, :, 1] - counts[:, :, 0]).astype(np.float64))
 
     def embed(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dim), np.float32)
+        out = np.zeros((len(texts), dim))
+        rows, parts, held = [], [], 0
         for i, t in enumerate(texts):
-            for j in range(max(len(t) - 2, 1)):
-                h = int.from_bytes(hashlib.blake2b(t[j : j + 3].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
-                out[i, h % dim] += 1 if h >> 63 else -1
+            for lo in range(0, max(len(t) - 2, 1), POINTS):
+                rows.append(i)
+                parts.append(codes(t[lo : lo + POINTS + 2]))
+                held += len(parts[-1])
+                if held >= POINTS:
+                    add(out, rows, parts)
+                    rows, parts, held = [], [], 0
+        if parts:
+            add(out, rows, parts)
+        out = out.astype(np.float32)
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
     return embed

@@ -380,3 +380,25 @@ def test_crowded_pages_make_no_pairs_of_ticks_and_boxes(spark, monkeypatch):
         joins = [line for line in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
         assert len(joins) == 1 and "BroadcastHashJoin" in joins[0] and "LeftOuter" in joins[0]  # the parts of crowded tiles
         assert {(q.page, q.tick): q.box for q in got.collect()} == want
+
+
+def test_each_distinct_trigram_is_hashed_once(monkeypatch):
+    import hashlib
+
+    import numpy as np
+
+    from quillmill.operators import vector
+
+    blake, calls = hashlib.blake2b, []
+    monkeypatch.setattr(hashlib, "blake2b", lambda *a, **k: calls.append(1) or blake(*a, **k))
+    texts = ["", "a", "ab", "abc", "\0\0\0\0", "\0", "某法第三条" * 50, "x\ud800y\U0010ffffz", "abcabc" * 1000]
+    want = np.zeros((len(texts), 32), np.float32)
+    for i, t in enumerate(texts):
+        for j in range(max(len(t) - 2, 1)):
+            h = int.from_bytes(blake(t[j : j + 3].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+            want[i, h % 32] += 1 if h >> 63 else -1
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-12)
+    for points in (4_000_000, 7):
+        monkeypatch.setattr(vector, "POINTS", points, raising=False)
+        assert (vector.hash_embedder(32)(texts) == want).all()
+    assert len(calls) <= 2 * len({t[j : j + 3] for t in texts for j in range(max(len(t) - 2, 1))})
