@@ -27,3 +27,8 @@ def united(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows dealt by a unique key, for work that is dear by the row: a file of few bytes or one row group is read by a task or two, however many rows it holds."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

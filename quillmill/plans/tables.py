@@ -9,8 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.numerals import cn_to_int, expand_articles, int_to_cn, span_bounds
-from ..operators import complete, extract, link, merge, pages, presence, rawinput, segment, vector
+from ..functions.numerals import cn_to_int, expand_articles, int_to_cn, let, span_bounds
+from ..operators import blocks, complete, extract, link, merge, pages, presence, rawinput, segment, vector
 from ..streaming import incremental
 from .registry import query, table
 
@@ -163,7 +163,8 @@ def unique_key_violations(spark, sf):
 
 @query("select p_partkey, (p_partkey % 10000)::bigint as back from part")
 def cn_numeral_roundtrip(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", cn_to_int(int_to_cn(F.col("p_partkey") % 10000)).alias("back"))
+    p = blocks.spread(table(spark, sf, "part").select("p_partkey"), "p_partkey")
+    return p.select("p_partkey", cn_to_int(int_to_cn(F.col("p_partkey") % 10000)).alias("back"))
 
 
 @query("select p_partkey, array_to_string(range(p_partkey % 300 + 1, p_partkey % 300 + p_size + 2), ',') as articles, (p_partkey % 300 + 1)::bigint as l, (p_partkey % 300 + 1 + p_size)::bigint as r from part")
@@ -171,7 +172,9 @@ def article_expand(spark, sf):
     a = F.col("p_partkey") % 300 + 1
     b = a + F.col("p_size")
     span = F.concat(F.lit("第"), int_to_cn(a), F.lit("条~第"), int_to_cn(b), F.lit("条"))
-    return table(spark, sf, "part").select("p_partkey", F.array_join(expand_articles(span).cast("array<string>"), ",").alias("articles"), span_bounds(span).alias("s")).select("p_partkey", "articles", "s.l", "s.r")
+    p = blocks.spread(table(spark, sf, "part").select("p_partkey", "p_size"), "p_partkey")
+    read = let(span, lambda s: F.struct(F.array_join(expand_articles(s).cast("array<string>"), ",").alias("articles"), span_bounds(s).alias("s")))
+    return p.select("p_partkey", F.explode(F.array(read)).alias("x")).select("p_partkey", "x.articles", "x.s.l", "x.s.r")  # explode: read once
 
 
 # --- citation joins ---

@@ -74,3 +74,10 @@ def test_packed_chunks_keep_every_article(spark, sf):
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
         for line in r.text.split("\n"):
             assert "".join(line.split()).lstrip("：:．.") in chunks.get(r.doc_id, "")
+
+
+@pytest.mark.parametrize("name", ["article_expand", "cn_numeral_roundtrip"])
+def test_dear_rows_of_one_file_are_read_by_many_tasks(spark, sf, name):
+    d = QUERIES[name](spark, sf)
+    each = d.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(n > 0 for n in each) > 1 and sum(each) == spark.read.parquet(f"{sf}/part.parquet").count()
