@@ -207,16 +207,19 @@ def target_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 def best_target(mentions: DataFrame, index: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """mentions with to_doc: of the documents of that name the one that shares most articles, then the latest, then the least id; null for none.
 
-    mentions are unique on document and law.  Candidates are ranked once for each law and set of
-    articles, however many documents cite these.
+    mentions are unique on document and law.  Of the candidates of one name and one set of articles
+    only the best can win, so these alone are ranked, once for each law and set of articles cited.
     """
     none = F.array().cast("array<bigint>")
     m = mentions.withColumnRenamed(id_col, "from_doc").withColumn("_arts", F.array_sort(F.coalesce("articles", none)))
     asked = m.select("law_norm", "_arts").distinct()
-    hits = asked.join(index.withColumnRenamed("doc_id", "cand"), asked["law_norm"] == index["name"]).join(docs.withColumnRenamed("doc_id", "cand"), "cand", "left")
-    shared = F.size(F.array_intersect("_arts", F.coalesce("doc_articles", none)))
-    w = Window.partitionBy("law_norm", "_arts").orderBy(F.desc(shared), F.desc("version"), "cand")
-    best = hits.withColumn("_no", F.row_number().over(w)).where("_no = 1").select("law_norm", "_arts", F.col("cand").alias("to_doc"), "by_alias")
+    each = index.withColumnRenamed("doc_id", "cand").join(docs.withColumnRenamed("doc_id", "cand"), "cand", "left").withColumn("_own", F.array_sort(F.array_distinct(F.coalesce("doc_articles", none))))
+    latest = each.groupBy("name", "_own", "version").agg(F.min(F.struct("cand", "by_alias")).alias("c"))
+    latest = latest.groupBy("name", "_own").agg(F.max(F.struct(F.col("version").isNotNull(), "version")).alias("v"), F.max_by("c", F.struct(F.col("version").isNotNull(), "version")).alias("c"))
+    hits = asked.join(latest, asked["law_norm"] == latest["name"])
+    shared = F.size(F.array_intersect("_arts", "_own"))
+    w = Window.partitionBy("law_norm", "_arts").orderBy(F.desc(shared), F.desc("v.version"), "c.cand")
+    best = hits.withColumn("_no", F.row_number().over(w)).where("_no = 1").select("law_norm", "_arts", F.col("c.cand").alias("to_doc"), "c.by_alias")
     return m.join(best, ["law_norm", "_arts"], "left").select("from_doc", "law_norm", "law_raw", "articles", "to_doc", "by_alias")
 
 

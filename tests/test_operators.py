@@ -402,3 +402,23 @@ def test_each_distinct_trigram_is_hashed_once(monkeypatch):
         monkeypatch.setattr(vector, "POINTS", points, raising=False)
         assert (vector.hash_embedder(32)(texts) == want).all()
     assert len(calls) <= 2 * len({t[j : j + 3] for t in texts for j in range(max(len(t) - 2, 1))})
+
+
+def test_of_candidates_with_the_same_articles_one_is_ranked(spark):
+    from pyspark.sql import functions as F
+
+    from quillmill.operators import link
+
+    rows = [(i, [1, 2] if i % 3 == 0 else [2, 1] if i % 3 == 1 else None, None if i % 5 == 0 else f"v{i % 2}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, doc_articles array<bigint>, version string")
+    index = docs.select(F.lit("甲法").alias("name"), "doc_id", (F.col("doc_id") % 2 == 0).alias("by_alias"))
+    asked = [(1, "甲法", [1, 2]), (2, "甲法", [9]), (3, "甲法", None), (4, "乙法", [1])]
+    m = spark.createDataFrame([(i, n, n, a) for i, n, a in asked], "doc_id long, law_norm string, law_raw string, articles array<bigint>")
+    got = link.best_target(m, index, docs)
+    best = lambda a: min(rows, key=lambda r: (-len(set(a or []) & set(r[1] or [])), chr(999) if r[2] is None else chr(200 - ord(r[2][1])), r[0]))[0]
+    want = {1: best([1, 2]), 2: best([9]), 3: best(None), 4: None}
+    want_alias = {i: None if d is None else d % 2 == 0 for i, d in want.items()}
+    assert {r.from_doc: r.to_doc for r in got.collect()} == want
+    assert {r.from_doc: r.by_alias for r in got.collect()} == want_alias
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(struct(cand" in plan or "min(named_struct(cand" in plan
